@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, removed, written
+from .common import ascii_lower, written
 
 #: Splits a text that is not lower-cased yet: A-Z are word characters.
 NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -36,9 +36,9 @@ TEMPLATES = {
     "apache-2.0": ("licensed under the apache license version 2 0", ["apache license version 2 0"]),
     "gpl-3.0": ("this work is licensed under the gnu general public license version 3", ["gnu general public license version 3"]),
     "gpl-2.0": ("this program is free software licensed under the gnu general public license version 2", ["gnu general public license version 2"]),
-    "cc-by-nc-4.0": ("licensed under cc by nc 4 0", ["cc by nc 4 0"]),
-    "cc-by-4.0": ("licensed under cc by 4 0", ["cc by 4 0"]),
-    "cc-by-sa-4.0": ("licensed under cc by sa 4 0", ["cc by sa 4 0"]),
+    "cc-by-nc-4.0": ("licensed under cc by nc 4 0", ["licensed under cc by nc 4 0"]),
+    "cc-by-4.0": ("licensed under cc by 4 0", ["licensed under cc by 4 0"]),
+    "cc-by-sa-4.0": ("licensed under cc by sa 4 0", ["licensed under cc by sa 4 0"]),
     "bsd": ("redistribution and use in source and binary forms with or without modification are permitted", ["source and binary forms"]),
     "mpl-2.0": ("subject to the terms of the mozilla public license v 2 0", ["mozilla public license"]),
     "unlicense": ("this is free and unencumbered software released into the public domain", ["unencumbered software"]),
@@ -66,6 +66,12 @@ def _starts(words: Column, phrase: str) -> Column:
     return F.array_compact(marked)
 
 
+def _offsets(word: str, position: int) -> Column:
+    """Where a template would start if the text's places of its word at this position are its own; none if the word isn't looked up."""
+    mine = F.filter("_spots", lambda s: (s["w"] == word) & F.array_contains("_mine", F.lit(word)))
+    return F.transform(mine, lambda s: s["p"] - F.lit(position))
+
+
 def license_scan(
     docs: DataFrame,
     text_col: str = "text",
@@ -81,11 +87,12 @@ def license_scan(
     made = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
     keep = [c for c in docs.columns if c != text_col and c not in made]
     rare = sorted({w for t, _ in templates.values() for w in t.split()} - set(EVERYDAY))
-    anchors = sorted({w for p in phrases for w in p.split()[-1:]} | {t for t, _ in templates.values() for t in t.split() if t in rare})
-    # Only texts with a template or phrase word are split into lower-cased words; the test is ASCII case-insensitive.
-    may = F.coalesce(F.col(text_col), F.lit("")).rlike("(?i)" + "|".join(anchors))
+    # Every base phrase and every template has a phrase that must stand in the text. Only texts with the longest
+    # word of such a phrase are split into lower-cased words; the test is ASCII case-insensitive.
+    musts = [*phrases, *(must[0] for _, must in templates.values())]
+    anchors = sorted({max(m.split(), key=len) for m in musts})
     out = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).alias("_t"))
-    out = out.withColumns({"_w": words_of(F.col("_t")), "_may": may})
+    out = out.withColumns({"_w": words_of(F.col("_t")), "_may": F.coalesce(F.col("_t"), F.lit("")).rlike("(?i)" + "|".join(anchors))})
     out = out.withColumn("_l", F.when(F.col("_may"), F.transform("_w", ascii_lower)).otherwise(F.array().cast("array<string>")))
     out = out.withColumn("n_words", F.size("_w").cast("bigint"))
     base = {f"_b{i}": _starts(F.col("_l"), p) for i, p in enumerate(phrases)}
@@ -112,18 +119,7 @@ def license_scan(
     rows = rows.withColumn("_have", F.array_distinct(F.transform("_spots", lambda s: s["w"]))).withColumn("_mine", mine)
     found, votes = [], {}
     for t, (label, (notice, _)) in enumerate(templates.items()):
-        offsets = F.flatten(
-            F.array(
-                *[
-                    F.transform(
-                        F.filter("_spots", lambda s, w=w: (s["w"] == w) & F.array_contains("_mine", F.lit(w))), lambda s, p=p: s["p"] - F.lit(p)
-                    )
-                    for w, list_of in postings.items()
-                    for u, p in list_of
-                    if u == t
-                ]
-            )
-        )
+        offsets = F.flatten(F.array(*[_offsets(w, p) for w, list_of in postings.items() for u, p in list_of if u == t]))
         # the longest run of equal values in sorted order is the best alignment's votes
         run = F.aggregate(
             F.sort_array(offsets),
