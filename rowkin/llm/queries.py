@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, poisson_mix, quality_mcd, url_cascade
+from . import license_scan, poisson_mix, quality_mcd, url_cascade, warc, winnow
+from .common import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,11 +24,25 @@ def op5_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return poisson_mix.poisson_mix(_table(spark, sf_dir, "documents")).withColumn("rate", F.round("rate", 6))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    path = scratch_path(spark, "warc")
+    warc.write_warc(pages, path)
+    merged = warc.merge_index(warc.read_warc(spark, path))
+    numbers = {c: F.expr(f"try_cast({c} as bigint)") for c in ("page_id", "refers_to")}
+    return merged.withColumns(numbers).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return license_scan.license_scan(docs)
 
 
+def op8_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return winnow.decontaminate(docs, _table(spark, sf_dir, "benchmark"), keep=("doc_id",)).drop("spans")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     out = quality_mcd.quality_rules(docs, keep=("doc_id",))
@@ -37,11 +52,14 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_cascade": op3_url_cascade,
     "op5_poisson_mix": op5_poisson_mix,
+    "op6_warc": op6_warc,
     "op7_license_scan": op7_license_scan,
+    "op8_winnow": op8_winnow,
     "op9_quality_rules": op9_quality_rules,
 }
 
 ORACLES: dict[str, str] = {
     "op3_url_cascade": url_cascade.ORACLE_SQL,
     "op5_poisson_mix": poisson_mix.ORACLE_SQL,
+    "op6_warc": warc.ORACLE_SQL,
 }
