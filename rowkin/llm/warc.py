@@ -10,7 +10,7 @@ row a task; the payloads themselves move only with their own record.
 Reading. binaryFile hands each archive to one task, which walks its records by Content-Length and checks each
 payload's digest.
 
-Index merge. A task's captures, sorted by (url key, time, page id), are a run. Runs are dealt to ranges of that
+Index merge. An archive's captures, sorted by (url key, time, page id), are a run. Runs are dealt to ranges of that
 key by Spark's range partitioning, which splits a url with many captures between ranges, and in each range a
 loser tree merges the runs' shares, k-way. The merge finds the runs by itself, as the ascending stretches of
 what arrives: it needs no order from the shuffle, it only gains from it. The ranges one after the other hold
@@ -32,6 +32,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import written
+
 CRLF = "\r\n"
 #: Captures have no time of their own: page id seconds after this instant.
 EPOCH = 1_704_067_200
@@ -44,12 +46,11 @@ def base32_sha1(payload: Column) -> Column:
     return F.translate(F.concat(*groups), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
-def surt(url: Column) -> Column:
-    """Sort-friendly url key: host labels from the top, then ) and the rest; in lower case."""
-    whole = F.coalesce(url, F.lit(""))
-    host = F.regexp_extract(whole, r"(?s)^[^:]*://([^/?#]*)", 1)
-    rest = F.regexp_extract(whole, r"(?s)^[^:]*://[^/?#]*([^#]*)", 1)
-    return F.lower(F.concat(F.array_join(F.reverse(F.split(host, r"\.")), ","), F.lit(")"), rest))
+def url_key(url: str) -> str:
+    """Sort-friendly url key: host labels from the top, then ) and the rest without fragment; in lower case."""
+    rest = url.partition("://")[2]
+    cut = min((i for i in map(rest.find, "/?#") if i >= 0), default=len(rest))
+    return (",".join(reversed(rest[:cut].split("."))) + ")" + rest[cut:].partition("#")[0]).lower()
 
 
 def _no_breaks(c: Column) -> Column:
@@ -115,7 +116,7 @@ def base32(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-READ = "page_id string, url string, date string, payload_bytes bigint, payload_digest string, record_type string, refers_to string, archive string, offset bigint"
+READ = "url_key string, date string, number bigint, page_id string, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to string, archive string, offset bigint"
 
 
 def _id_of(urn: str | None) -> str | None:
@@ -123,7 +124,10 @@ def _id_of(urn: str | None) -> str | None:
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record of the archives under path, its payload's digest checked; archive and offset say where it is."""
+    """One row per record of the archives under path, its payload's digest checked; archive and offset say where it is.
+
+    An archive's rows come sorted by (url_key, date, number), number being the page id: a local run of the index.
+    """
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -134,7 +138,11 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                     payload = block[block.index(b"\r\n\r\n") + 4 :]
                     if kind == "response" and (base32(payload) != digest or len(payload) != int(h["WARC-Payload-Length"])):
                         raise ValueError(f"{name}, byte {at}: the payload isn't that of its digest")
-                    rows.append((_id_of(h["WARC-Record-ID"]), h["WARC-Target-URI"], h["WARC-Date"], int(h["WARC-Payload-Length"]), digest, kind, _id_of(h.get("WARC-Refers-To")), name, at))
+                    page, url = _id_of(h["WARC-Record-ID"]), h["WARC-Target-URI"]
+                    number = int(page) if page.lstrip("-").isdigit() else -1
+                    refers_to = _id_of(h.get("WARC-Refers-To"))
+                    rows.append((url_key(url), h["WARC-Date"], number, page, url, int(h["WARC-Payload-Length"]), digest, kind, refers_to, name, at))
+                rows.sort(key=lambda r: r[:3])
                 yield pd.DataFrame(rows, columns=[x.split()[0] for x in READ.split(", ")])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
@@ -189,13 +197,11 @@ def ascending_runs(keys: list) -> list[list]:
 
 
 def merge_index(captures: DataFrame) -> DataFrame:
-    """captures (of read_warc) in global order of (url_key, date, page_id), with url_key and range and place, their order."""
-    key = ["url_key", "date", "number"]
-    number = F.coalesce(F.expr("try_cast(page_id as bigint)"), F.lit(-1)).alias("number")
-    keyed = captures.select("*", surt(F.col("url")).alias("url_key"), number)
-    # a run: one task's captures in order
-    runs = keyed.sortWithinPartitions(*key)
-    dealt = runs.repartitionByRange(*key)
+    """captures (of read_warc) in global order of (url_key, date, number), with range and place, which are that order.
+
+    The runs are written to the shared folder, because range partitioning reads them twice: for its sample and to deal.
+    """
+    dealt = written(captures, "warc-runs").repartitionByRange("url_key", "date", "number")
 
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = list(batches)
@@ -209,7 +215,7 @@ def merge_index(captures: DataFrame) -> DataFrame:
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dealt.schema.fields)
     merged = dealt.mapInPandas(merge, f"{fields}, place bigint")
-    return merged.withColumn("range", F.spark_partition_id()).drop("number")
+    return merged.withColumn("range", F.spark_partition_id())
 
 
 ORACLE_SQL = r"""
