@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, poisson_mix, quality_mcd, url_cascade, warc, winnow
+from . import jaccard_tiles, license_scan, poisson_mix, quality_mcd, url_cascade, warc, winnow
 from .common import scratch_path
 
 
@@ -49,6 +49,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *quality_mcd.STATS, "base_failed", "kept")
 
 
+def op10_jaccard_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_tiles.jaccard_groups(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_cascade": op3_url_cascade,
     "op5_poisson_mix": op5_poisson_mix,
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_license_scan": op7_license_scan,
     "op8_winnow": op8_winnow,
     "op9_quality_rules": op9_quality_rules,
+    "op10_jaccard_tiles": op10_jaccard_tiles,
 }
 
 ORACLES: dict[str, str] = {
