@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_tiles, license_scan, poisson_mix, quality_mcd, url_cascade, warc, winnow
+from . import jaccard_tiles, license_scan, poisson_mix, pu_quality, quality_mcd, toxicity, url_cascade, warc, winnow
 from .common import scratch_path
 
 
@@ -15,11 +15,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_segment_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.toxicity(docs, _table(spark, sf_dir, "labels")).drop("segments")
+
+
 def op3_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
     return url_cascade.url_filter(pages, url_cascade.RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pu_quality.quality_classifier(docs, _table(spark, sf_dir, "labels"))
+
+
 def op5_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return poisson_mix.poisson_mix(_table(spark, sf_dir, "documents")).withColumn("rate", F.round("rate", 6))
 
@@ -54,7 +64,9 @@ def op10_jaccard_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_segment_toxicity": op1_segment_toxicity,
     "op3_url_cascade": op3_url_cascade,
+    "op4_pu_quality": op4_pu_quality,
     "op5_poisson_mix": op5_poisson_mix,
     "op6_warc": op6_warc,
     "op7_license_scan": op7_license_scan,

@@ -83,7 +83,13 @@ class Words:
         n = len(self.buf)
         sums = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(_CODES[self.buf] * _powers_of(_BASE, n), out=sums[1:])
-        self.hash = mix((sums[self.end] - sums[self.start]) * _powers_of(_INVERSE, n)[self.start])
+        self._sums, self._shift = sums, _powers_of(_INVERSE, n)[self.start]
+        self.hash = mix((sums[self.end] - sums[self.start]) * self._shift)
+
+    def prefix_hash(self, size: int) -> np.ndarray:
+        """Hash of each word's first `size` bytes, apart from any word's own hash; 0 for words no longer than that."""
+        raw = (self._sums[np.minimum(self.start + size, self.end)] - self._sums[self.start]) * self._shift
+        return np.where(self.end - self.start > size, mix(raw + np.uint64(size * 0x1000193)), np.uint64(0))
 
     def __len__(self) -> int:
         return len(self.start)
