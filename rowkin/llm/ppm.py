@@ -14,11 +14,12 @@ totals and that sum, all taken by sorting, with no walk through the trie.
 
 Base. log10((c + 1) / (N + V + 1)) summed over words and one end per text; c, N, V are counts over all training texts.
 
-Scale. The trie isn't broadcast and has no bound: it is a table. Texts are cut into pieces of PIECE rows; each piece's
-distinct (ORDER + 1)-byte strings and words, with their training counts, are dealt by their context's last two bytes or
-word hash; there a task sums the counts of a few context families over all pieces and gives each (piece, key) its code length
-or count; the values go back to the piece and meet its texts. A string that is everywhere is one row a piece, not
-one row an occurrence, so frequent strings don't make hot tasks. Only contexts of one byte or none, at most 65,536
+Scale. The trie isn't broadcast and has no bound: it is a table. Texts are cut into pieces of 2^PIECE_BITS rows; each piece's
+distinct (ORDER + 1)-byte strings and words, with their training counts, are packed by family (a context's last two
+bytes, or the first bits of a word's hash) as compressed differences of sorted keys, and dealt by family. There the
+counts of a family are summed over all pieces and each piece's keys get their code lengths or counts, packed alike; they
+go back to the piece and meet its texts. A string that is everywhere is one number a piece, not one row an
+occurrence, so frequent strings don't make hot tasks. Only contexts of one byte or none, at most 65,536
 numbers however large the corpus, are broadcast. Texts are shuffled once, to meet their piece's values.
 
 Words are known by 63 bits of a hash; two of a billion distinct words collide with a chance of a few per cent, and
@@ -30,6 +31,7 @@ crc32; repeated rows are all counted and scored alike; without training texts ev
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,8 +43,8 @@ from pyspark.sql import functions as F
 from .common import crc_mod, written
 from .textvec import Words, chunks
 
-ORDER = 4
-PIECE_BITS = 13
+ORDER = 5
+PIECE_BITS = 14
 START, END, SYMBOLS = 0xFE, 0xFF, 256
 #: Keys of words have the top bit but one set; strings of up to six bytes never reach it.
 WORD = np.int64(1) << np.int64(62)
@@ -98,15 +100,49 @@ class _Sums:
         return keys[first], np.add.reduceat(n, first)
 
 
-def _piece_keys(order: int):
-    """(piece, key, n): each piece's distinct strings and words and how often training texts of the piece have them."""
+def packed(x: np.ndarray) -> bytes:
+    """Numbers as compressed bytes, all first bytes together, then all second ones, and so on."""
+    return zlib.compress(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes(), 1)
+
+
+def unpacked(b: bytes, kind: str) -> np.ndarray:
+    raw = np.frombuffer(zlib.decompress(b), dtype=np.uint8)
+    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def packed_keys(sorted_keys: np.ndarray) -> bytes:
+    return packed(np.diff(sorted_keys, prepend=np.int64(0)))
+
+
+def unpacked_keys(b: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(b, "<i8"))
+
+
+def families_of(keys: np.ndarray, word_bits: int) -> np.ndarray:
+    """Strings: the context's last two bytes. Words: after those, the hash's first word_bits bits."""
+    words = (1 << 16) + ((keys >> np.int64(62 - word_bits)) & np.int64((1 << word_bits) - 1))
+    return np.where(keys >= WORD, words, (keys >> 8) & 0xFFFF)
+
+
+PACKED = "piece bigint, family int, keys binary, n binary"
+
+
+def _piece_keys(order: int, word_bits: int):
+    """PACKED: each piece's distinct strings and words and how often training texts of the piece have them."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece, sums = None, _Sums()
 
         def done():
             k, n = sums.merged()
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(k), piece)), pa.array(k), pa.array(n)], names=["piece", "key", "n"])
+            f = families_of(k, word_bits)
+            by = np.argsort(f, kind="stable")  # keys ascend in each family
+            k, n, f = k[by], n[by], f[by]
+            cut = np.flatnonzero(np.concatenate([[True], f[1:] != f[:-1], [True]]))
+            parts = list(zip(cut[:-1], cut[1:], strict=True))
+            columns = [pa.array([piece] * len(parts), pa.int64()), pa.array(f[cut[:-1]].astype(np.int32))]
+            columns += [pa.array([packed_keys(k[x:y]) for x, y in parts], pa.binary()), pa.array([packed(n[x:y]) for x, y in parts], pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=["piece", "family", "keys", "n"])
 
         for b in batches:
             pieces, learn = b.column("piece").to_numpy(), b.column("learn").to_numpy(zero_copy_only=False)
@@ -118,7 +154,7 @@ def _piece_keys(order: int):
                 if piece is not None and pieces[x] != piece:
                     yield done()
                     sums = _Sums()
-                piece = pieces[x]
+                piece = int(pieces[x])
                 for train in (True, False):
                     for _, block in chunks([t for t, s in zip(texts[x:y], learn[x:y], strict=True) if bool(s) == train]):
                         for keys in (grams(block, order)[0], word_keys(block)[0], np.full(len(block), END_WORD)):
@@ -209,29 +245,28 @@ def code_lengths(strings: np.ndarray, n: np.ndarray, low: LowOrders, order: int
     return out
 
 
+VALUED = "piece bigint, family int, keys binary, value binary, known bigint"
+
+
 def _valued(low, order: int):
-    """(piece, key, value, first): the code length of a string, the count of a word. A task holds whole families."""
+    """VALUED: the strings' code lengths (float32), the words' counts (int64); known: the family's words of training, once."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [(b.column("piece").to_numpy(), b.column("key").to_numpy(), b.column("n").to_numpy()) for b in batches]
-        if not held:
-            return
-        piece, key, n = (np.concatenate(x) for x in zip(*held, strict=True))
-        del held
-        distinct, inverse = np.unique(key, return_inverse=True)
-        count = np.bincount(inverse, weights=n, minlength=len(distinct))
-        value = count.copy()
-        strings = distinct < WORD
-        if strings.any():
-            value[strings] = code_lengths(distinct[strings], count[strings], low.value, order)
-        first = np.zeros(len(key), dtype=bool)
-        first[np.unique(inverse, return_index=True)[1]] = True
-        known = first & (count[inverse] > 0) & ~strings[inverse]
-        for x in range(0, len(key), 1 << 18):
-            y = x + (1 << 18)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(piece[x:y]), pa.array(key[x:y]), pa.array(value[inverse[x:y]]), pa.array(known[x:y])], names=["piece", "key", "value", "known"]
-            )
+        families: dict[int, list[tuple]] = {}
+        for b in batches:
+            for row in zip(*(b.column(c).to_pylist() for c in ("family", "piece", "keys", "n")), strict=True):
+                families.setdefault(row[0], []).append(row[1:])
+        for family, rows in families.items():
+            keys = [unpacked_keys(r[1]) for r in rows]
+            cut = np.cumsum([0, *map(len, keys)])
+            distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+            count = np.bincount(inverse, weights=np.concatenate([unpacked(r[2], "<i8") for r in rows]), minlength=len(distinct))
+            words = family >= 1 << 16
+            value = count.astype(np.int64) if words else code_lengths(distinct, count, low.value, order).astype(np.float32)
+            known = [int((count > 0).sum()) if words else 0] + [0] * (len(rows) - 1)
+            columns = [pa.array([r[0] for r in rows], pa.int64()), pa.array([family] * len(rows), pa.int32()), pa.array([r[1] for r in rows], pa.binary())]
+            columns.append(pa.array([packed(value[inverse[x:y]]) for x, y in zip(cut[:-1], cut[1:], strict=True)], pa.binary()))
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(known, pa.int64())], names=["piece", "family", "keys", "value", "known"])
 
     return scan
 
@@ -241,23 +276,29 @@ OUT = "n_tokens bigint, n_known bigint, base_log double, score double"
 
 def _scored(order: int, columns: list[str]):
     def score(texts: pd.DataFrame, values: pd.DataFrame) -> pd.DataFrame:
-        order_of = np.argsort(values["key"].to_numpy(), kind="stable")
-        keys, value = values["key"].to_numpy()[order_of], values["value"].to_numpy()[order_of]
-
-        def of(k: np.ndarray) -> np.ndarray:
+        tables = {}
+        for words in (False, True):
+            mine = values[(values["family"] >= 1 << 16) == words]
+            keys = np.concatenate([np.zeros(0, dtype=np.int64), *map(unpacked_keys, mine["keys"])])
+            value = np.concatenate([np.zeros(0, dtype="<f4"), *(unpacked(v, "<i8" if words else "<f4") for v in mine["value"])])
+            by = np.argsort(keys)
+            tables[words] = keys[by], value[by]
+
+        def of(k: np.ndarray, words: bool) -> np.ndarray:
+            keys, value = tables[words]
             at = np.searchsorted(keys, k)
             at[at == len(keys)] = 0
             if len(k) and (not len(keys) or (keys[at] != k).any()):
                 raise RuntimeError("a text changed its piece between two reads; its input isn't deterministic")
-            return value[at]
+            return value[at].astype(np.float64)
 
         rows = []
         for _, block in chunks(texts["_t"].tolist()):
             strings, starts = grams(block, order)
-            score = np.add.reduceat(of(strings), starts)
+            score = np.add.reduceat(of(strings, False), starts)
             words, first = word_keys(block)
-            count = of(words)
-            end = of(np.array([END_WORD]))[0]
+            count = of(words, True)
+            end = of(np.array([END_WORD]), True)[0]
             logs = np.concatenate([[0.0], np.cumsum(np.log10(count + 1))])
             known = np.concatenate([[0], np.cumsum(count > 0)])
             rows.append(
@@ -296,16 +337,15 @@ def ppm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
     low = spark.sparkContext.broadcast(LowOrders(pairs))
 
     pieced = source.withColumn("piece", F.shiftright(F.monotonically_increasing_id(), PIECE_BITS))
-    keys = pieced.select("piece", learn.alias("learn"), "_t").mapInArrow(_piece_keys(order), "piece bigint, key bigint, n bigint")
-    # strings whose contexts end in the same two bytes meet, and equal words
-    family = F.when(F.col("key") >= F.lit(int(WORD)), F.col("key")).otherwise(F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF)))
-    valued = keys.repartition(family).mapInArrow(_valued(low, order), "piece bigint, key bigint, value double, known boolean")
-    valued = written(valued, "ppm-values")
-    vocabulary = valued.filter("known").count()
+    n_rows = max(1, source.count())
+    word_bits = min(16, 6 + (n_rows >> PIECE_BITS).bit_length())
+    keys = pieced.select("piece", learn.alias("learn"), "_t").mapInArrow(_piece_keys(order, word_bits), PACKED)
+    valued = written(keys.repartition("family").mapInArrow(_valued(low, order), VALUED), "ppm-values")
+    vocabulary = valued.agg(F.sum("known")).first()[0] or 0
 
     texts = pieced.select("piece", "doc_id", "_t")
     id_type = docs.schema[id_col].dataType.simpleString()
-    met = texts.groupBy("piece").cogroup(valued.select("piece", "key", "value").groupBy("piece"))
+    met = texts.groupBy("piece").cogroup(valued.select("piece", "family", "keys", "value").groupBy("piece"))
     scored = met.applyInPandas(_scored(order, ["doc_id"]), f"doc_id {id_type}, {OUT}")
     base = F.col("base_log") - F.col("n_tokens") * F.lit(float(np.log10(tokens + vocabulary + 1)))
     return scored.select(
