@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_tiles, license_scan, poisson_mix, pu_quality, quality_mcd, toxicity, url_cascade, warc, winnow
+from . import jaccard_tiles, license_scan, poisson_mix, ppm, pu_quality, quality_mcd, toxicity, url_cascade, warc, winnow
 from .common import scratch_path
 
 
@@ -20,6 +20,10 @@ def op1_segment_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(docs, _table(spark, sf_dir, "labels")).drop("segments")
 
 
+def op2_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.ppm_score(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
     return url_cascade.url_filter(pages, url_cascade.RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -65,6 +69,7 @@ def op10_jaccard_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_segment_toxicity": op1_segment_toxicity,
+    "op2_ppm": op2_ppm,
     "op3_url_cascade": op3_url_cascade,
     "op4_pu_quality": op4_pu_quality,
     "op5_poisson_mix": op5_poisson_mix,
