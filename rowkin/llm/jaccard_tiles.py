@@ -34,7 +34,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +43,7 @@ from .common import components, written
 from .textvec import Words, chunks, gram_hash, mix
 
 BLOCK = 512
+TILE, ORDER = ["tile", "b1", "b2", "block", "n", "node"], ["tile", "b1", "b2", "n", "node"]
 BLOCK_ELEMENTS = 250_000
 #: Bits of the fixed bitmap that marks the documents whose sets are needed.
 MARKS = 1 << 23
@@ -69,6 +69,14 @@ class Sizes:
             lo = hi
         self.low, self.top, self.parts = map(np.array, (self.low, self.top, self.parts))
 
+    _made: dict[int, "Sizes"] = {}
+
+    @classmethod
+    def of(cls, percent: int) -> "Sizes":
+        if percent not in cls._made:
+            cls._made[percent] = cls(percent)
+        return cls._made[percent]
+
     def most(self, a, b):
         """The largest symmetric difference of linked sets of these sizes."""
         return (a + b) * (100 - self.percent) // (100 + self.percent)
@@ -133,7 +141,7 @@ def _scan_nodes(id_col: str, n: int, percent: int, sample: int):
     """Each row's size, node and bitmap, and the keys of every sample-th node."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes = Sizes(percent)
+        sizes = Sizes.of(percent)
         for b in batches:
             ids, at = b.column(id_col), 0
             for sets in element_sets(b.column("_t").to_pylist(), n):
@@ -152,7 +160,7 @@ def _scan_nodes(id_col: str, n: int, percent: int, sample: int):
 
 def _scan_keys(n: int, percent: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes = Sizes(percent)
+        sizes = Sizes.of(percent)
         for b in batches:
             for sets in element_sets(b.column("_t").to_pylist(), n):
                 found = list(keys_of(sets, sizes))
@@ -213,42 +221,77 @@ def tile_pairs(n: np.ndarray, bitmaps: list[np.ndarray], side: np.ndarray | None
                 yield i, j
 
 
-def _bit_tile(percent: int):
-    def tile(pdf: pd.DataFrame) -> pd.DataFrame:
-        sizes = Sizes(percent)
-        pdf = pdf.drop_duplicates("node").sort_values(["n", "node"])
-        two = pdf["b1"].iloc[0] != pdf["b2"].iloc[0]
-        node, n = pdf["node"].to_numpy(), pdf["n"].to_numpy()
-        groups, out = Groups(len(n)), []
-        bitmaps = [np.frombuffer(b, dtype=np.uint8) for b in pdf["bits"]]
-        for i, js in tile_pairs(n, bitmaps, pdf["block"].to_numpy() if two else None, sizes):
-            out += [(node[i], node[j]) for j in js if groups.join(i, int(j))]
-        return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
-
-    return tile
-
-
-def _exact_tile(percent: int):
-    def tile(pdf: pd.DataFrame) -> pd.DataFrame:
-        sizes = Sizes(percent)
-        pdf = pdf.drop_duplicates("node").sort_values(["n", "node"])
-        two = pdf["b1"].iloc[0] != pdf["b2"].iloc[0]
-        node, n = pdf["node"].to_numpy(), pdf["n"].to_numpy()
-        sets = [np.asarray(e, dtype=np.int64).view(np.uint64) for e in pdf["elements"]]
-        bits = bitmap_bits(sizes, int(n.max()))
-        groups, out = Groups(len(n)), []
-        for i, js in tile_pairs(n, [parity_bitmap(s, bits) for s in sets], pdf["block"].to_numpy() if two else None, sizes):
-            for j in map(int, js):
+def _by_tile(links_of):
+    """A scan of rows sorted by (tile, b1, b2, n, node) that hands each such group to links_of, however many there are.
+
+    Groups are cut out of Arrow batches; the last one of a batch waits for the rest of it. links_of takes the group's
+    columns as arrays (lists of arrays for bits and elements) and yields pairs of row numbers.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            t = t if held is None else pa.concat_tables([held, t]).combine_chunks()
+            found, last = _linked(t, links_of, False)
+            held = t.slice(last)
+            if found is not None:
+                yield found
+        if held is not None:
+            found, _ = _linked(held.combine_chunks(), links_of, True)
+            if found is not None:
+                yield found
+
+    return scan
+
+
+def _linked(t: pa.Table, links_of, ends: bool) -> tuple[pa.RecordBatch | None, int]:
+    """(u, v) of all groups but the last (with it if the rows end), and where the last begins."""
+    c = {name: t.column(name).to_numpy() for name in ("tile", "b1", "b2", "block", "n", "node")}
+    new = (np.diff(c["tile"]) != 0) | (np.diff(c["b1"]) != 0) | (np.diff(c["b2"]) != 0)
+    cut = np.concatenate([[0], np.flatnonzero(new) + 1, [t.num_rows]])
+    cut = cut if ends else cut[:-1]
+    sets = t.column(t.column_names[-1]).combine_chunks()
+    sets = sets.chunk(0) if isinstance(sets, pa.ChunkedArray) else sets
+    offsets = np.frombuffer(sets.buffers()[1], dtype=np.int32)[sets.offset : sets.offset + len(sets) + 1]
+    whole = np.frombuffer(sets.buffers()[2], np.uint8) if pa.types.is_binary(sets.type) else sets.values.to_numpy().view(np.uint64)
+    u, v = [], []
+    for x, y in zip(cut[:-1], cut[1:], strict=True):
+        if y - x > 1:
+            side = c["block"][x:y] if c["b1"][x] != c["b2"][x] else None
+            for i, j in links_of(c["n"][x:y], [whole[offsets[k] : offsets[k + 1]] for k in range(x, y)], c["node"][x:y], side):
+                u.append(c["node"][x + i])
+                v.append(c["node"][x + j])
+    found = pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"]) if u else None
+    return found, int(cut[-1])
+
+
+def _bit_links(percent: int):
+    def links(n: np.ndarray, bitmaps: list[np.ndarray], node: np.ndarray, side: np.ndarray | None) -> Iterator[tuple[int, int]]:
+        groups = Groups(len(n))
+        for i, js in tile_pairs(n, bitmaps, side, Sizes.of(percent)):
+            for j in js.tolist():
+                if groups.join(i, j):
+                    yield i, j
+
+    return links
+
+
+def _exact_links(percent: int):
+    def links(n: np.ndarray, sets: list[np.ndarray], node: np.ndarray, side: np.ndarray | None) -> Iterator[tuple[int, int]]:
+        sizes = Sizes.of(percent)
+        bits, groups = bitmap_bits(sizes, int(n.max())), Groups(len(n))
+        for i, js in tile_pairs(n, [parity_bitmap(s, bits) for s in sets], side, sizes):
+            for j in js.tolist():
                 if groups.of(i) != groups.of(j):
                     at = np.searchsorted(sets[j], sets[i])
                     at[at == len(sets[j])] = 0
                     both = int((sets[j][at] == sets[i]).sum())
                     if 100 * both >= percent * (n[i] + n[j] - both):
                         groups.join(i, j)
-                        out.append((node[i], node[j]))
-        return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
+                        yield i, j
 
-    return tile
+    return links
 
 
 def _in_tiles(rows: DataFrame) -> DataFrame:
@@ -275,15 +318,17 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     has_hot = bool(hot.take(1))
     cold = keys.join(F.broadcast(hot), "key", "left_anti") if has_hot else keys
     by_key = Window.partitionBy("key")
-    cold = cold.withColumns({"lo": F.min("node").over(by_key), "hi": F.max("node").over(by_key), "size": F.count("*").over(by_key)})
-    members = cold.filter("lo <> hi").select("key", "node", "size")
+    # keys with the same nodes make the same tile: it is named by its nodes
+    named = F.xxhash64(F.min("node").over(by_key), F.max("node").over(by_key), F.count("*").over(by_key), *[F.bit_xor(F.xxhash64("node", F.lit(k))).over(by_key) for k in (1, 2)])
+    cold = cold.withColumns({"tile": named, "lo": F.min("node").over(by_key), "hi": F.max("node").over(by_key), "size": F.count("*").over(by_key)})
+    members = cold.filter("lo <> hi").select("tile", "node", "size")
     if has_hot:
-        mine = keys.join(F.broadcast(hot), "key")
+        mine = keys.join(F.broadcast(hot), "key").distinct()
         size = mine.groupBy("key").agg(F.count("*").alias("size"))
-        members = members.unionByName(mine.join(F.broadcast(size), "key").select("key", "node", "size"))
+        members = members.unionByName(mine.join(F.broadcast(size), "key").select(F.col("key").alias("tile"), "node", "size"))
     members = written(members.distinct().withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).drop("size"), "jaccard-members")
-    tiles = _in_tiles(members.join(nodes.select("node", "n", "bits"), "node"))
-    maybe = tiles.groupBy("key", "b1", "b2").applyInPandas(_bit_tile(percent), "u bigint, v bigint")
+    tiles = _in_tiles(members.join(nodes.select("node", "n", "bits"), "node")).select(*TILE, "bits")
+    maybe = tiles.repartition("tile", "b1", "b2").sortWithinPartitions(*ORDER).mapInArrow(_by_tile(_bit_links(percent)), "u bigint, v bigint")
     families = components(maybe, "jaccard-families")
 
     member = families.select("node", "root").unionByName(families.select(F.col("root").alias("node"), "root").distinct())
@@ -298,8 +343,8 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     placed = source.select("_t", F.pmod(F.xxhash64("doc_id"), F.lit(MARKS)).cast("int").alias("_place"))
     sets = placed.mapInArrow(_scan_sets(ngram, marked), "node bigint, elements array<bigint>")
     whole = member.join(size, "root").join(sets, "node")
-    tiles = _in_tiles(whole.select("root", "node", "n", "elements", "blocks"))
-    links = tiles.groupBy("root", "b1", "b2").applyInPandas(_exact_tile(percent), "u bigint, v bigint")
+    tiles = _in_tiles(whole.withColumnRenamed("root", "tile")).select(*TILE, "elements")
+    links = tiles.repartition("tile", "b1", "b2").sortWithinPartitions(*ORDER).mapInArrow(_by_tile(_exact_links(percent)), "u bigint, v bigint")
     linked = components(links, "jaccard-links")
 
     named = nodes.select("node", "rep").join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
