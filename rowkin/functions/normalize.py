@@ -11,6 +11,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ASCII = r"^[\x00-\x7F]*$"
 
@@ -34,7 +35,7 @@ STREET_TOKENS = {
 }
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfkd(s: pd.Series) -> pd.Series:
     return s.map(lambda x: unicodedata.normalize("NFKD", x), na_action="ignore")
 
