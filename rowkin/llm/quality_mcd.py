@@ -101,13 +101,21 @@ def base_failed(min_words: int = 50, max_repeat: int = 50) -> Column:
     return (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat * F.col("n_words"))
 
 
-#: Transformed statistics. A high value of symbols, repeats or duplicate lines is bad; word length is odd at either side.
-VECTOR = {
-    "x0": F.log1p(100.0 * F.try_divide(F.col("n_symbols"), F.greatest(F.col("word_chars"), F.lit(1)))),
-    "x1": F.log1p(100.0 * F.try_divide(F.col("n_repeat_words"), F.greatest(F.col("n_words"), F.lit(1)))),
-    "x2": F.log1p(F.col("n_dup_lines").cast("double")),
-    "x3": F.log(1.0 + F.try_divide(F.col("word_chars"), F.greatest(F.col("n_words"), F.lit(1)))),
-}
+#: Coordinates of the statistic vector, made by vector().
+XS = ("x0", "x1", "x2", "x3")
+
+
+def vector() -> dict[str, Column]:
+    """Transformed statistics. A high value of symbols, repeats or duplicate lines is bad; word length is odd at either side."""
+    per = lambda a, b: F.try_divide(F.col(a), F.greatest(F.col(b), F.lit(1)))
+    return {
+        "x0": F.log1p(100.0 * per("n_symbols", "word_chars")),
+        "x1": F.log1p(100.0 * per("n_repeat_words", "n_words")),
+        "x2": F.log1p(F.col("n_dup_lines").cast("double")),
+        "x3": F.log(1.0 + per("word_chars", "n_words")),
+    }
+
+
 HIGH_IS_BAD = ("x0", "x1", "x2")
 #: Least standard deviation of each coordinate: a group whose rows are all alike would else reject any other row.
 FLOOR = {"x0": 0.25, "x1": 0.5, "x2": 0.35, "x3": 0.06}
@@ -209,14 +217,14 @@ def quality_rules(
 ) -> DataFrame:
     """One row per row of docs: the columns `keep` (all but the text by default), the statistics, base_failed, d2, kept."""
     keep = tuple(c for c in docs.columns if c != text_col) if keep is None else keep
-    made = {*STATS, "base_failed", "kept", "d2", "g0", "g1", "_w", "_h", "_l"} | set(VECTOR)
+    made = {*STATS, "base_failed", "kept", "d2", "g0", "g1", "_w", "_h", "_l"} | set(XS)
     keep = tuple(c for c in keep if c not in made)
-    xs = list(VECTOR)
+    xs = list(XS)
     used = dict.fromkeys([*keep, *group_cols, text_col])
     flat = quality_stats(docs.select(*[F.col(f"`{c}`") for c in used]), text_col)
     g = {f"g{i}": F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("null")) for i, c in enumerate(group_cols)}
     flat = flat.withColumns(g).select(*keep, *STATS, *g)
-    flat = flat.withColumn("base_failed", base_failed()).withColumns(VECTOR)
+    flat = flat.withColumn("base_failed", base_failed()).withColumns(vector())
     rows = written(flat, "quality-stats")
     # each row counts in its (lang, source) group, in its language's and in the whole
     levels = F.array(F.concat_ws("\x00", F.lit("2"), "g0", "g1"), F.concat_ws("\x00", F.lit("1"), "g0"), F.lit("0"))
