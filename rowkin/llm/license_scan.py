@@ -85,7 +85,8 @@ def license_scan(
     if sum(len(t.split()) for t, _ in templates.values()) > max_template_words:
         raise ValueError(f"templates have more than {max_template_words} words")
     made = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
-    keep = [c for c in docs.columns if c != text_col and c not in made]
+    inner = ["_t", "_w", "_may", "_l", "_j", "_spots", "_have", "_mine", *[f"_{k}{i}" for k, xs in (("b", phrases), ("k", templates), ("v", templates)) for i in range(len(xs))]]
+    keep = [c for c in docs.columns if c not in {text_col, *made, *inner}]
     rare = sorted({w for t, _ in templates.values() for w in t.split()} - set(EVERYDAY))
     # Every base phrase and every template has a phrase that must stand in the text. Only texts with the longest
     # word of such a phrase are split into lower-cased words; the test is ASCII case-insensitive.

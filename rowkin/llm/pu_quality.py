@@ -11,7 +11,7 @@ Features of a whole text: frequencies of pairs of byte classes (letters by case,
 punctuation and symbols, other bytes), shares of repeated words, word triples and lines, word length and text length.
 
 Scale: the model is fitted on at most n_positive + n_unlabelled rows (documented bounds), chosen by a hash of their
-ids; their ids are broadcast, their features, 210 numbers a row, come to the driver. Scoring is one scan in
+ids; their ids are broadcast, their features, WIDTH numbers a row, come to the driver. Scoring is one scan in
 Arrow batches without a shuffle.
 
 Nulls and odd rows: a null or empty text has all features zero but gets a score; a null id isn't learned from;
