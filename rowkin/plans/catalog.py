@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,12 +27,12 @@ def _rounded(df: DataFrame, places: int = 6) -> DataFrame:
 
 
 class _Fixture:
-    """The fixture's tables, normalized and tokenized, for one query."""
+    """The fixture's tables, normalized, for one query. Persisted, because anchors, targets and features all read them."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.raw = fixtures.entities(spark, sf_dir)
+        self.all = normalize.normalize_table(fixtures.entities(spark, sf_dir), ascii_only=True).persist(StorageLevel.MEMORY_AND_DISK)
+        self.raw = self.all.drop("name_n", "addr_n", "country_n")
         self.s1_ids, self.truth = fixtures.truth(self.raw)
-        self.all = normalize.normalize_table(self.raw, ascii_only=True)
         self.s1 = self.all.filter("source = 'S1'")
         self.targets = blocking.targets_in_order(self.all.filter("source = 'S2'"), self.all.filter("source = 'S3'"))
 
