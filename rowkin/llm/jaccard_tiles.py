@@ -19,7 +19,7 @@ Exact. Families' sets meet in tiles again, sorted by size; pairs that pass size
 connected yet are decided by intersecting the sorted arrays, and links that join two groups are emitted.
 Every linked pair passes each step or is connected anyway, so components are exact; no cap drops a pair.
 
-Scale and skew. A key or family with many nodes is split into blocks of BLOCK nodes, and pairs of blocks are tasks
+Scale and skew. A key or family with many nodes is split into blocks (BLOCK, EXACT_BLOCK), and pairs of blocks are tasks
 of bounded size; work in such a group is quadratic in bit comparisons only, rows and edges aren't. Keys that
 very many nodes share are found on a sample of nodes, and their sizes by a partial aggregate, so they don't
 meet in one task; all other keys meet in one shuffle of (key, node). Texts are never shuffled: sets leave the scan
@@ -42,9 +42,11 @@ from pyspark.sql.window import Window
 from .common import components, written
 from .textvec import Words, chunks, gram_hash, mix
 
+#: Nodes of a bit tile's block; nodes and n-grams of an exact tile's block, whose sets travel once a block pair.
 BLOCK = 512
+EXACT_BLOCK = 2048
 TILE, ORDER = ["tile", "b1", "b2", "block", "n", "node"], ["tile", "b1", "b2", "n", "node"]
-BLOCK_ELEMENTS = 250_000
+EXACT_ELEMENTS = 2_000_000
 #: Bits of the fixed bitmap that marks the documents whose sets are needed.
 MARKS = 1 << 23
 
@@ -86,9 +88,12 @@ class Sizes:
 
 
 def bitmap_bits(sizes: Sizes, n: int) -> int:
-    """A power of two, six times the difference that the size allows, within 64..2048."""
-    want = 6 * int(sizes.most(n, n * 100 // sizes.percent))
-    return min(2048, max(64, 1 << (max(1, want) - 1).bit_length()))
+    """A power of two of at least 2.5 times the difference that the size allows, within 64..16384.
+
+    Unrelated sets differ in about half the bits, which must be more than that difference, else nothing is ruled out.
+    """
+    want = 5 * int(sizes.most(n, n * 100 // sizes.percent)) // 2
+    return min(1 << 14, max(64, 1 << (max(1, want) - 1).bit_length()))
 
 
 def parity_bitmap(elements: np.ndarray, bits: int) -> np.ndarray:
@@ -333,7 +338,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     member = families.select("node", "root").unionByName(families.select(F.col("root").alias("node"), "root").distinct())
     member = written(member.join(nodes.select("node", "rep", "n"), "node"), "jaccard-family")
-    size = member.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_ELEMENTS)).cast("int").alias("blocks"))
+    size = member.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / EXACT_BLOCK), F.ceil(F.sum("n") / EXACT_ELEMENTS)).cast("int").alias("blocks"))
     place = F.pmod(F.xxhash64("rep"), F.lit(MARKS))
     words = member.select(place.alias("p")).groupBy(F.shiftright("p", 5).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 32 as int))")).alias("b"))
     marks = np.zeros(MARKS // 32, dtype=np.uint32)

@@ -116,6 +116,7 @@ def made_family(rng, n, words, edits):
 
 @pytest.mark.parametrize("ngram, percent", [(3, 90), (5, 80), (1, 60)])
 def test_jaccard_against_all_pairs(spark, monkeypatch, ngram, percent):
+    monkeypatch.setattr(jaccard_tiles, "EXACT_BLOCK", 8)
     monkeypatch.setattr(jaccard_tiles, "BLOCK", 8)  # families and keys are split into many blocks
     rng = random.Random(ngram)
     words = [f"w{i}" for i in range(400)]
