@@ -12,8 +12,8 @@ Small groups (under min_group rows) take the estimate of their language, small l
 Scale: texts are read once and leave the scan as five numbers a row, kept in the shared folder. Every step is
 one partial aggregate of d + d(d+1)/2 sums by group, so that a hot source moves as many rows as any other;
 the distance that cuts off h rows is an approximate percentile of relative error 1 / accuracy, a mergeable
-sketch. Cholesky factors are Column arithmetic on the groups' table. That table is written before it is
-joined, so Spark broadcasts it only while its size is under spark.sql.autoBroadcastJoinThreshold.
+sketch. Cholesky factors are Column arithmetic on the groups' table, which is broadcast up to a number of groups
+that is counted first, and joined by shuffle beyond.
 
 Nulls and odd rows: a null text has no words and fails the base rule; a null lang or source is a group of its
 own; repeated rows count as often as they occur; an empty table gives an empty result. Columns of the input
@@ -173,17 +173,20 @@ def _distance(rows: DataFrame, xs: list[str]) -> DataFrame:
     return rows.withColumn("d2", d2).drop(*[f"z_{b}" for b in xs])
 
 
-def mcd_by_group(rows: DataFrame, key: str, xs: list[str], support: float = 0.75, steps: int = 3, accuracy: int = 2000) -> DataFrame:
+def mcd_by_group(rows: DataFrame, key: str, xs: list[str], support: float = 0.75, steps: int = 3, accuracy: int = 2000, max_broadcast: int = 50_000) -> DataFrame:
     """One row per group: key, n, means and factor of the minimum-covariance-determinant estimate.
 
     The start is the coordinatewise median with scatter from the medians of absolute deviation: robust while
-    under half of a group is off. Each concentration step lowers the determinant or leaves it. The groups'
-    tables are written, so Spark knows their size when it chooses between broadcast and shuffled joins.
+    under half of a group is off. Each concentration step lowers the determinant or leaves it. The groups are
+    counted once; their tables are broadcast if there are at most max_broadcast (of some 40 numbers each), so that rows
+    never move by group, and joined by shuffle beyond.
     """
     scale = 1.0
     d = len(xs)
     med = written(rows.groupBy(key).agg(F.count("*").alias("n"), *[F.percentile_approx(x, 0.5, accuracy).alias(f"m_{x}") for x in xs]), "mcd-start")
-    groups = rows.join(med, key).groupBy(key).agg(
+    small = med.limit(max_broadcast + 1).count() <= max_broadcast
+    of = F.broadcast if small else (lambda t: t)
+    groups = rows.join(of(med), key).groupBy(key).agg(
         *[F.first(f"m_{x}").alias(f"m_{x}") for x in xs],
         *[F.percentile_approx(F.abs(F.col(x) - F.col(f"m_{x}")), 0.5, accuracy).alias(f"a_{x}") for x in xs],
     )
@@ -193,9 +196,9 @@ def mcd_by_group(rows: DataFrame, key: str, xs: list[str], support: float = 0.75
             groups = groups.withColumn(f"s_{a}_{b}", square + (1.4826 * F.col(f"a_{a}")) ** 2 if a == b else square)
     for _ in range(steps):
         groups = written(_with_factor(groups, xs, scale), "mcd-step")
-        near = _distance(rows.join(groups, key), xs).select(key, *xs, "d2")
+        near = _distance(rows.join(of(groups), key), xs).select(key, *xs, "d2")
         cut = written(near.groupBy(key).agg(F.percentile_approx("d2", support, accuracy).alias("cut")), "mcd-cut")
-        groups = near.join(cut, key).filter("d2 <= cut").groupBy(key).agg(*_moments(xs))
+        groups = near.join(of(cut), key).filter("d2 <= cut").groupBy(key).agg(*_moments(xs))
         # the chosen rows' scatter is too small by a factor that depends on the support (Croux and Haesbroeck)
         scale = support / _chi2_cdf(chi2_quantile(support, d), d + 2)
     return written(_with_factor(groups.join(med.select(key, F.col("n").alias("n_all")), key), xs, scale).drop("n"), "mcd")
@@ -213,6 +216,7 @@ def quality_rules(
     confidence: float = 1 - 1e-10,
     support: float = 0.75,
     min_group: int = 200,
+    max_broadcast: int = 50_000,
     keep: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """One row per row of docs: the columns `keep` (all but the text by default), the statistics, base_failed, d2, kept."""
@@ -229,12 +233,13 @@ def quality_rules(
     # each row counts in its (lang, source) group, in its language's and in the whole
     levels = F.array(F.concat_ws("\x00", F.lit("2"), "g0", "g1"), F.concat_ws("\x00", F.lit("1"), "g0"), F.lit("0"))
     fit = rows.filter("not base_failed").select(F.explode(levels).alias("g"), *xs)
-    groups = mcd_by_group(fit, "g", xs, support)
+    groups = mcd_by_group(fit, "g", xs, support, max_broadcast=max_broadcast)
     params = F.struct(*[c for c in groups.columns if c not in ("g", "n_all")])
     large = groups.filter((F.col("n_all") >= min_group) | (F.col("g") == "0"))
+    of = F.broadcast if large.limit(max_broadcast + 1).count() <= max_broadcast else (lambda t: t)
     level = lambda k: large.filter(F.col("g").startswith(str(k))).select(F.col("g").alias(f"k{k}"), params.alias(f"e{k}"))
     joined = rows.withColumns({f"k{k}": levels[2 - k] for k in range(3)})
-    joined = joined.join(level(2), "k2", "left").join(level(1), "k1", "left").join(level(0), "k0", "left")
+    joined = joined.join(of(level(2)), "k2", "left").join(of(level(1)), "k1", "left").join(F.broadcast(level(0)), "k0", "left")
     joined = joined.withColumn("e", F.coalesce("e2", "e1", "e0")).drop("e0", "e1", "e2", "k0", "k1", "k2")
     judged = _distance(joined.select("*", "e.*").drop("e"), xs)
     worse = F.lit(False)
