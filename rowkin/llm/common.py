@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,6 +41,12 @@ def removed(spark: SparkSession, df: DataFrame) -> None:
             p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def freed(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop shuffle files of finished jobs now: it acts when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z lower-cased, everything else as it is."""
     return F.translate(c, UPPER, LOWER)

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import components, written
+from .common import components, freed, written
 from .textvec import Words, chunks, gram_hash, mix
 
 #: Nodes of a bit tile's block; nodes and n-grams of an exact tile's block, whose sets travel once a block pair.
@@ -332,9 +332,11 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         size = mine.groupBy("key").agg(F.count("*").alias("size"))
         members = members.unionByName(mine.join(F.broadcast(size), "key").select(F.col("key").alias("tile"), "node", "size"))
     members = written(members.distinct().withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).drop("size"), "jaccard-members")
+    freed(spark)  # the keys' shuffle is the largest and done with
     tiles = _in_tiles(members.join(nodes.select("node", "n", "bits"), "node")).select(*TILE, "bits")
     maybe = tiles.repartition("tile", "b1", "b2").sortWithinPartitions(*ORDER).mapInArrow(_by_tile(_bit_links(percent)), "u bigint, v bigint")
     families = components(maybe, "jaccard-families")
+    freed(spark)
 
     member = families.select("node", "root").unionByName(families.select(F.col("root").alias("node"), "root").distinct())
     member = written(member.join(nodes.select("node", "rep", "n"), "node"), "jaccard-family")
