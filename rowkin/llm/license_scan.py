@@ -2,11 +2,13 @@
 
 Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` of the lower-cased (A-Z) text. The base scan finds every place
 where a phrase's words stand consecutively. The method then looks for templates (short licence notices): the
-words of a text that are template words, but not everyday words, are found with their positions; the R of
-them with the highest inverse document frequency over the whole corpus are looked up in the postings
-(word -> template, position); each posting votes for the offset text position - template position; the
-offset with the most votes is the template's best alignment. A template is found if its votes reach its
-threshold and its mandatory key phrases stand in the text.
+words of a text that are template words, but not everyday words, are found with their positions. A template
+is a candidate if one of its R words with the highest inverse document frequency over the whole corpus is
+among them (of more than R, where a template could reach its threshold without these). For a candidate all
+of its words are looked up in its postings (word -> position); each posting votes for the offset text
+position - template position; the offset with the most votes is the template's best alignment. A template is
+found if its votes reach its threshold, a share of all its postings, and its mandatory key phrases stand in
+the text. What else stands in the text doesn't count.
 
 Scale: one pass over the texts, without a shuffle; only rows with a licence word go on, as a handful of
 positions, kept in the shared folder. Document frequencies are one partial-aggregated count per template
@@ -66,10 +68,11 @@ def _starts(words: Column, phrase: str) -> Column:
     return F.array_compact(marked)
 
 
-def _offsets(word: str, position: int) -> Column:
-    """Where a template would start if the text's places of its word at this position are its own; none if the word isn't looked up."""
-    mine = F.filter("_spots", lambda s: (s["w"] == word) & F.array_contains("_mine", F.lit(word)))
-    return F.transform(mine, lambda s: s["p"] - F.lit(position))
+def _offsets(postings: dict[str, list[int]]) -> Column:
+    """Where a template would start if the text's places of its looked-up words are its own: one number a posting and place."""
+    table = F.create_map(*[x for w, at in postings.items() for x in (F.lit(w), F.array(*map(F.lit, at)))])
+    mine = F.filter("_spots", lambda s: s["w"].isin(list(postings)))
+    return F.flatten(F.transform(mine, lambda s: F.transform(F.element_at(table, s["w"]), lambda at: s["p"] - at)))
 
 
 def license_scan(
@@ -85,7 +88,7 @@ def license_scan(
     if sum(len(t.split()) for t, _ in templates.values()) > max_template_words:
         raise ValueError(f"templates have more than {max_template_words} words")
     made = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
-    inner = ["_t", "_w", "_may", "_l", "_j", "_spots", "_have", "_mine", *[f"_{k}{i}" for k, xs in (("b", phrases), ("k", templates), ("v", templates)) for i in range(len(xs))]]
+    inner = ["_t", "_w", "_may", "_l", "_j", "_spots", *[f"_{k}{i}" for k, xs in (("b", phrases), ("k", templates), ("v", templates)) for i in range(len(xs))]]
     keep = [c for c in docs.columns if c not in {text_col, *made, *inner}]
     rare = sorted({w for t, _ in templates.values() for w in t.split()} - set(EVERYDAY))
     # Every base phrase and every template has a phrase that must stand in the text. Only texts with the longest
@@ -109,18 +112,21 @@ def license_scan(
     df = rows.select(F.explode(F.array_distinct(F.transform("_spots", lambda s: s["w"]))).alias("w")).groupBy("w").agg(F.count("*").alias("df"))
     df = {r["w"]: r["df"] for r in df.collect()}  # at most one row a template word
 
-    by_rarity = sorted(rare, key=lambda w: (df.get(w, 0), w))
-    ranks = F.array(*[F.lit(w) for w in by_rarity])
-    postings: dict[str, list[tuple[int, int]]] = {}
-    for t, (notice, _) in enumerate(templates.values()):
-        for p, w in enumerate(notice.split()):
-            if w in rare:
-                postings.setdefault(w, []).append((t, p))
-    mine = F.slice(F.filter(ranks, lambda w: F.array_contains("_have", w)), 1, rarest)
-    rows = rows.withColumn("_have", F.array_distinct(F.transform("_spots", lambda s: s["w"]))).withColumn("_mine", mine)
     found, votes = [], {}
     for t, (label, (notice, _)) in enumerate(templates.items()):
-        offsets = F.flatten(F.array(*[_offsets(w, p) for w, list_of in postings.items() for u, p in list_of if u == t]))
+        postings: dict[str, list[int]] = {}
+        for p, w in enumerate(notice.split()):
+            if w in rare:
+                postings.setdefault(w, []).append(p)
+        most = sum(map(len, postings.values()))
+        # A text that misses all of a template's rarest words is no candidate. They are as many as leave fewer than
+        # `agree` of the votes without them, so that no template with enough votes is passed over.
+        probes, left = [], most
+        for w in sorted(postings, key=lambda w: (df.get(w, 0), w)):
+            if len(probes) < rarest or left >= agree * most:
+                probes.append(w)
+                left -= len(postings[w])
+        offsets = _offsets(postings)
         # the longest run of equal values in sorted order is the best alignment's votes
         run = F.aggregate(
             F.sort_array(offsets),
@@ -132,11 +138,8 @@ def license_scan(
             ),
             lambda a: a["best"],
         )
-        looked_up = sorted({w for w in notice.split() if w in rare})
-        # votes that a whole notice would get: its looked-up words that are among this text's rarest
-        possible = F.size(F.array_intersect(F.array(*[F.lit(w) for w in looked_up]), F.col("_mine")))
-        most = min(rarest, len(looked_up))
-        votes[f"_v{t}"] = F.when(F.col(f"_k{t}") & (possible > 0), F.least(run / F.lit(float(most)), F.lit(1.0))).otherwise(F.lit(0.0))
+        candidate = F.exists("_spots", lambda s: s["w"].isin(probes))  # noqa: B023
+        votes[f"_v{t}"] = F.when(F.col(f"_k{t}") & candidate, run / F.lit(float(most))).otherwise(F.lit(0.0))
         found.append(F.when((F.col(f"_v{t}") >= agree) & F.col(f"_k{t}"), F.lit(label)))
     rows = rows.withColumns(votes)
     based = [F.when(F.size(f"_b{i}") > 0, F.lit(x)) for i, x in enumerate(phrases.values())]

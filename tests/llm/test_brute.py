@@ -225,6 +225,17 @@ def test_licence_templates(spark):
     assert got[1]["labels"] == "gpl,gpl-3.0" and got[2]["labels"] == "" and got[3]["labels"] == "cc-by-nc-4.0" and got[4]["labels"] == ""
 
 
+def test_licence_notices_together(spark):
+    """Several notices in one text, among other words of the index, are found as each alone."""
+    notices = {k: t for k, (t, _) in license_scan.TEMPLATES.items() if k in ("mit-notice", "apache-2.0", "gpl-3.0", "cc-by-nc-4.0")}
+    noise = " subject program binary redistribution modification domain permitted mozilla software cc unencumbered sa "
+    rows = [(i, k, noise * 3 + t + noise * 30) for i, (k, t) in enumerate(notices.items())]
+    rows += [(9, ",".join(sorted(notices)), noise.join(notices.values())), (10, "", noise * 40)]
+    df = spark.createDataFrame(rows, "doc_id long, expected string, text string")
+    for r in license_scan.license_scan(df).collect():
+        assert set(r["labels"].split(",")) - {"", *license_scan.PHRASES.values()} == set(r["expected"].split(",")) - {""}
+
+
 def test_cascade_is_exact_on_its_universe(spark):
     universe = spark.range(20_000).select(F.concat(F.lit("key"), "id").alias("key"))
     listed = universe.filter("xxhash64(key) % 37 = 0")
