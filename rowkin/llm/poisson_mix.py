@@ -3,16 +3,20 @@
 A source with n of N rows and target weight w (of total W) is to be repeated w / W * N * epochs / n times on
 average. Each row's copies are a Poisson number of that mean, found by inverting the distribution at a
 uniform number that is a hash of seed and id: the same on every run, on every cluster and for every order of
-rows. Rows are exploded by their count, dealt to partitions by a hash of (seed, id, copy) and sorted by it
+rows. exp(-mean) has no double for large means: one above PART is the sum of independent Poisson numbers of equal
+means of at most PART, each from a hash of its own, which has exactly the distribution wanted. Rows are exploded by their count, dealt to partitions by a hash of (seed, id, copy) and sorted by it
 there, which is a uniform shuffle of the whole mix.
 
 Scale: one partial-aggregated count per source, one join with that small table (broadcast only up to
 max_broadcast sources; else a shuffled join whose hot sources adaptive execution splits), one shuffle of the
-result. No group is gathered.
+result. No group is gathered. A row takes rate / PART inversions, so their number follows the rows of the
+result. The copies of one row are made in blocks of BLOCK, by the task that has the row.
 
 Nulls and odd rows: a null source is a source of its own (target weights name it by None); a null id counts
 as the empty text; rows that repeat get the same count each. A source without a target weight gets none of
-the mix. The mean may be at most 500. Columns named like the results are replaced.
+the mix. The mean has no bound; copies are counted as int, as in the SQL, and a row of over 2^31 - 1 fails. `epochs`,
+the mean over all rows of the mix, may be at most MOST_EPOCHS: a check of the argument, which the data don't change.
+Columns named like the results are replaced. ORACLE_SQL inverts in one part: it says the same up to a mean of PART.
 """
 
 from __future__ import annotations
@@ -22,7 +26,10 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MOST = 500.0
+#: Largest mean that is inverted at once.
+PART = 500.0
+MOST_EPOCHS = 500.0
+BLOCK = 100_000
 #: 52 bits of a hash make the uniform number.
 HEX, SCALE = 13, float(1 << 52)
 
@@ -54,35 +61,40 @@ def poisson_mix(
     max_broadcast: int = 100_000,
 ) -> DataFrame:
     """docs, each row as often as its count, with rate, n_copies, copy (from 1) and shuffle_key."""
+    if epochs > MOST_EPOCHS:
+        raise ValueError(f"{epochs:g} epochs; at most {MOST_EPOCHS:g}")
     rates = source_rates(docs, weights, epochs, source_col)
-    highest = rates.agg(F.max("rate"), F.count("*")).first()
-    if (highest[0] or 0.0) > MOST:
-        raise ValueError(f"a source would be repeated {highest[0]:.0f} times; at most {MOST:.0f}")
+    rates = rates.withColumn("_parts", F.greatest(F.ceil(F.col("rate") / PART), F.lit(1))).withColumn("_mean", F.col("rate") / F.col("_parts"))
+    highest = rates.agg(F.max("_mean"), F.count("*")).first()
     most = math.ceil((highest[0] or 0.0) + 12 * math.sqrt(highest[0] or 0.0) + 30)
     step = lambda a, k: F.struct(
-        (a["p"] * F.col("rate") / k).alias("p"),
-        (a["c"] + a["p"] * F.col("rate") / k).alias("c"),
-        F.array_append(a["cdf"], a["c"] + a["p"] * F.col("rate") / k).alias("cdf"),
+        (a["p"] * F.col("_mean") / k).alias("p"),
+        (a["c"] + a["p"] * F.col("_mean") / k).alias("c"),
+        F.array_append(a["cdf"], a["c"] + a["p"] * F.col("_mean") / k).alias("cdf"),
     )
-    start = F.exp(-F.col("rate"))
+    start = F.exp(-F.col("_mean"))
     cdf = F.aggregate(
         F.sequence(F.lit(1), F.lit(most)), F.struct(start.alias("p"), start.alias("c"), F.array(start).alias("cdf")), step, lambda a: a["cdf"]
     )
-    table = rates.select(F.col("source").alias("_s"), "rate", cdf.alias("_cdf"))
+    table = rates.select(F.col("source").alias("_s"), "rate", "_parts", cdf.alias("_cdf"))
     table = F.broadcast(table) if highest[1] <= max_broadcast else table
-    docs = docs.drop("rate", "n_copies", "copy", "shuffle_key", "_s", "_cdf")
+    docs = docs.drop("rate", "n_copies", "copy", "shuffle_key", "_s", "_cdf", "_parts", "_block")
     the_id = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    hashed = lambda *c: F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), the_id, *c).cast("binary")), 1, HEX), 16, 10).cast("bigint")
-    uniform = hashed().cast("double") / F.lit(SCALE)
+    number = lambda *c: F.conv(F.substring(F.md5(F.concat_ws(":", *c).cast("binary")), 1, HEX), 16, 10).cast("bigint")
+    hashed = lambda *c: number(F.lit(str(seed)), the_id, *c)
+    uniform = lambda part: F.when(part == 1, hashed()).otherwise(number(F.lit(f"{seed}:part"), part.cast("string"), the_id)).cast("double") / F.lit(SCALE)
     counted = docs.join(table, F.col(source_col).eqNullSafe(F.col("_s")))
-    below = F.aggregate(
+    below = lambda part: F.aggregate(
         "_cdf",
-        F.struct(uniform.alias("u"), F.lit(0).alias("n")),  # the hash is taken once a row
+        F.struct(uniform(part).alias("u"), F.lit(0).alias("n")),  # the hash is taken once a part
         lambda a, c: F.struct(a["u"].alias("u"), (a["n"] + (c <= a["u"]).cast("int")).alias("n")),
         lambda a: a["n"],
     )
-    counted = counted.withColumn("n_copies", below).drop("_cdf", "_s")
-    copies = counted.filter("n_copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
+    total = F.aggregate(F.sequence(F.lit(1).cast("bigint"), F.col("_parts")), F.lit(0), lambda n, part: n + below(part))
+    counted = counted.withColumn("n_copies", total).drop("_cdf", "_s", "_parts")
+    blocks = counted.filter("n_copies > 0").withColumn("_block", F.explode(F.sequence(F.lit(0), F.expr(f"cast((n_copies - 1) div {BLOCK} as int)"))))
+    first, left = F.col("_block") * BLOCK, F.col("n_copies") - F.col("_block") * BLOCK
+    copies = blocks.withColumn("copy", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.lit(BLOCK), left)), lambda k: first + k))).drop("_block")
     keyed = copies.withColumn("shuffle_key", hashed(F.col("copy").cast("string")))
     return keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
 

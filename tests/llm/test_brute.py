@@ -267,6 +267,26 @@ def test_poisson_counts(spark):
         assert k == r["n_copies"]
 
 
+def test_poisson_counts_of_large_means(spark, monkeypatch):
+    """A rare source, here the null one, has a mean that grows with the table; its counts are sums of bounded parts."""
+    df = spark.range(60_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3000 > 0, F.concat(F.lit("s"), F.col("id") % 2)).alias("source"))
+    monkeypatch.setattr(poisson_mix, "BLOCK", 300)
+    got = poisson_mix.poisson_mix(df).filter("source is null").groupBy("doc_id", "rate", "n_copies").agg(F.count("*").alias("n"), F.countDistinct("copy").alias("d"), F.max("copy").alias("m")).collect()
+    assert len(got) == 20 and all(r["rate"] == 1000.0 and r["n"] == r["d"] == r["m"] == r["n_copies"] for r in got)
+    for r in got:
+        total = 0
+        for name in (f"42:{r['doc_id']}", f"42:part:2:{r['doc_id']}"):
+            u, k = int(hashlib.md5(name.encode()).hexdigest()[:13], 16) / 2**52, 0
+            p = c = math.exp(-500.0)
+            while c <= u:
+                k += 1
+                p *= 500.0 / k
+                c += p
+            total += k
+        assert total == r["n_copies"]
+    assert abs(sum(r["n_copies"] for r in got) / 20 - 1000) < 4 * math.sqrt(1000 / 20)
+
+
 def test_segments_against_all_intervals():
     rng = random.Random(2)
     for _ in range(300):
