@@ -206,6 +206,29 @@ def test_statistics_separate_bad_quality(spark):
     assert np.mean(good) > 0.99 and np.mean(bad) < 0.05
 
 
+def test_milder_outliers_go(spark):
+    """Word length counts at either side; one statistic alone need not be extreme."""
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    prose = lambda n: [word(rng.choice([2, 3, 4, 5, 6, 7, 9])) for _ in range(n)]
+    rows = [(i, " ".join(prose(120))) for i in range(400)]
+    same = prose(18)
+    odd = {
+        "long": " ".join(word(500) for _ in range(60)),
+        "short": " ".join(word(2) for _ in range(200)),
+        "repeats": " ".join([*same, *prose(64), *same]),  # 36 % of the words, where the base rule wants 50 %
+        "lines": "\n".join([*[" ".join(prose(20)) for _ in range(10)], *["ab cd"] * 6]),
+        "symbols": " ".join([*prose(120), "#" * 20]),
+    }
+    usual = {"some repeats": " ".join([*same[:4], *prose(112), *same[:4]]), "one symbol": " ".join([*prose(120), "#"])}
+    rows += [(1000 + k, t) for k, t in enumerate([*odd.values(), *usual.values()])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("a")})
+    got = {r["doc_id"]: r for r in quality_mcd.quality_rules(df, keep=("doc_id",)).collect()}
+    judged = {name: (got[1000 + k]["base_failed"], got[1000 + k]["kept"]) for k, name in enumerate([*odd, *usual])}
+    assert judged == {**dict.fromkeys(odd, (False, False)), **dict.fromkeys(usual, (False, True))}
+    assert np.mean([got[i]["kept"] for i in range(400)]) > 0.99
+
+
 def test_licence_places(spark):
     texts = texts_of(SMALL)
     for r in license_scan.license_scan(spark.read.parquet(f"{SMALL}/documents.parquet")).collect():
