@@ -3,7 +3,8 @@
 Text statistics (quality_stats) are array functions within a row. They are transformed (shares and logs), and
 for each (lang, source) group a minimum-covariance-determinant estimate of location and scatter is found by
 concentration steps: from the coordinatewise median and spread, keep the h = support share of the group's
-rows with the smallest Mahalanobis distance, re-estimate from them, and repeat. A row is rejected if its
+rows with the smallest Mahalanobis distance, re-estimate from them, and repeat until no group's determinant falls
+any more. There is one start a group, so that the minimum found is a local one. A row is rejected if its
 squared distance from its group's estimate exceeds the chi-square quantile of `confidence`, and the statistic
 vector lies on a bad side: a document isn't rejected for having unusually few symbols, but for words that are
 unusually long or short.
@@ -177,11 +178,13 @@ def _distance(rows: DataFrame, xs: list[str]) -> DataFrame:
     return rows.withColumn("d2", d2).drop(*[f"z_{b}" for b in xs])
 
 
-def mcd_by_group(rows: DataFrame, key: str, xs: list[str], support: float = 0.75, steps: int = 3, accuracy: int = 2000, max_broadcast: int = 50_000) -> DataFrame:
+def mcd_by_group(rows: DataFrame, key: str, xs: list[str], support: float = 0.75, tolerance: float = 1e-3, accuracy: int = 2000, max_broadcast: int = 50_000) -> DataFrame:
     """One row per group: key, n, means and factor of the minimum-covariance-determinant estimate.
 
     The start is the coordinatewise median with scatter from the medians of absolute deviation: robust while
-    under half of a group is off. Each concentration step lowers the determinant or leaves it. The groups are
+    under half of a group is off. Each concentration step lowers the determinant or leaves it, but for the error of
+    the approximate cut; steps end when no group's determinant falls by more than the share `tolerance` below its
+    lowest so far, which every further step lowers by as much, and which the floors bound. The groups are
     counted once; their tables are broadcast if there are at most max_broadcast (of some 40 numbers each), so that rows
     never move by group, and joined by shuffle beyond.
     """
@@ -198,14 +201,24 @@ def mcd_by_group(rows: DataFrame, key: str, xs: list[str], support: float = 0.75
         for b in xs[i:]:
             square = F.col(f"m_{a}") * F.col(f"m_{b}")
             groups = groups.withColumn(f"s_{a}_{b}", square + (1.4826 * F.col(f"a_{a}")) ** 2 if a == b else square)
-    for _ in range(steps):
+    lowest = None
+    while True:
         groups = written(_with_factor(groups, xs, scale), "mcd-step")
+        if scale != 1.0:  # the start's scatter isn't of chosen rows
+            now = groups.select(key, sum(2.0 * F.log(f"l_{x}_{x}") for x in xs).alias("now"))
+            if lowest is not None:
+                now = written(now.join(of(lowest), key), "mcd-fall")
+                fall = now.agg(F.max(F.col("low") - F.col("now"))).first()[0]
+                if fall is None or fall <= tolerance:
+                    break
+                now = now.select(key, F.least("low", "now").alias("now"))
+            lowest = now.withColumnRenamed("now", "low")
         near = _distance(rows.join(of(groups), key), xs).select(key, *xs, "d2")
         cut = written(near.groupBy(key).agg(F.percentile_approx("d2", support, accuracy).alias("cut")), "mcd-cut")
         groups = near.join(of(cut), key).filter("d2 <= cut").groupBy(key).agg(*_moments(xs))
         # the chosen rows' scatter is too small by a factor that depends on the support (Croux and Haesbroeck)
         scale = support / _chi2_cdf(chi2_quantile(support, d), d + 2)
-    return written(_with_factor(groups.join(med.select(key, F.col("n").alias("n_all")), key), xs, scale).drop("n"), "mcd")
+    return written(groups.drop("n").join(med.select(key, F.col("n").alias("n_all")), key), "mcd")
 
 
 def _chi2_cdf(x: float, d: int) -> float:

@@ -198,6 +198,25 @@ def test_mcd_ignores_outliers(spark):
     assert np.allclose(low @ low.T, full)
 
 
+def test_mcd_steps_until_the_determinant_stays(spark):
+    """A long ellipse with near outliers across it: three steps aren't enough."""
+    rng = np.random.default_rng(8)
+    t = rng.normal(0, 8, 1200)
+    good = np.c_[t, t, t, t] + rng.normal(0, 0.3, (1200, 4))
+    bad = np.c_[rng.normal(6, 1.5, 380), rng.normal(-2, 1.5, 380), rng.normal(6, 1.5, 380), rng.normal(-2, 1.5, 380)]
+    xs, x = list(quality_mcd.XS), np.vstack([good, bad])
+    df = spark.createDataFrame([("g", *map(float, r)) for r in x], "g string, " + ", ".join(f"{c} double" for c in xs))
+    r = quality_mcd.mcd_by_group(df, "g", xs, accuracy=100_000).first()
+    floors = np.diag([quality_mcd.FLOOR[c] ** 2 for c in xs])
+    scale = 0.75 / quality_mcd._chi2_cdf(quality_mcd.chi2_quantile(0.75, 4), 6)
+    m = np.array([r[f"m_{c}"] for c in xs])
+    s = np.array([[r[f"c_{max(a, b)}_{min(a, b)}"] for a in xs] for b in xs])
+    d2 = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(s), x - m)
+    near = x[d2 <= np.sort(d2)[math.ceil(0.75 * len(x)) - 1]]
+    after = scale * np.cov(near.T, bias=True) + floors
+    assert np.linalg.slogdet(s)[1] - np.linalg.slogdet(after)[1] <= 1e-3
+
+
 def test_statistics_separate_bad_quality(spark):
     judged = quality_mcd.quality_rules(spark.read.parquet(f"{MIDDLE}/documents.parquet"), keep=("doc_id",))
     rows = judged.join(spark.read.parquet(f"{MIDDLE}/labels.parquet"), "doc_id").filter("not base_failed").collect()
