@@ -9,7 +9,9 @@ squared distance from its group's estimate exceeds the chi-square quantile of `c
 vector lies on a bad side: a document isn't rejected for having unusually few symbols, but for words that are
 unusually long or short.
 
-Small groups (under min_group rows) take the estimate of their language, small languages the overall one.
+Every group is judged by an estimate of its own, regularised as in the minimum regularised covariance determinant: location
+and scatter of a group of n rows are weighted n to prior_rows with its language's, and those of a language with the overall
+ones. So a group of any size, down to one row, has an estimate, without a size at which another rule would hold.
 
 Scale: texts are read once and leave the scan as five numbers a row, kept in the shared folder. Every step is
 one partial aggregate of d + d(d+1)/2 sums by group, so that a hot source moves as many rows as any other;
@@ -30,7 +32,7 @@ from statistics import NormalDist
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import begun, removed, removed_since, sized_broadcast, written
 
 SPACE = r"[\x20\x09-\x0D]+"
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -43,12 +45,11 @@ def words_of(text: Column) -> Column:
 def quality_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (bigint).
 
-    For n_repeat_words, 3-word windows become 64-bit hashes. Position and the upper 40 bits of the hash are
-    packed into one long, so that one primitive sort brings equal windows together. Where two different windows
-    share the 40 bits, or a text has 2^24 windows or more, the row takes a slower exact way.
+    For n_repeat_words, 3-word windows become 64-bit hashes. If a text repeats any, (hash, position) pairs are sorted, so
+    that equal windows stand together: n log n for a text of any length.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    docs = docs.drop(*STATS, "_w", "_h", "_s", "_p")
+    docs = docs.drop(*STATS, "_w", "_h", "_s", "_q", "_l")
     out = docs.withColumn("_w", words_of(F.col(text_col)))
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, " \t\n\x0b\x0c\r", "")) > 0)
     out = out.withColumns(
@@ -66,25 +67,13 @@ def quality_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
             ),
         }
     )
-    mask = ~0xFFFFFF
-    packed = F.sort_array(F.transform("_h", lambda h, i: h.bitwiseAND(F.lit(mask)).bitwiseOR(i.cast("bigint"))))
-    out = out.withColumn("_s", packed)
-    same = lambda a, b: a.bitwiseAND(F.lit(mask)) == b.bitwiseAND(F.lit(mask))
-    at = lambda p: p.bitwiseAND(F.lit(0xFFFFFF)).cast("int")
+    pairs = F.sort_array(F.transform("_h", lambda h, i: F.struct(h.alias("h"), i.alias("p"))))
+    out = out.withColumn("_s", F.when(F.size(F.array_distinct("_h")) < F.size("_h"), pairs))
     twin = F.filter(
         "_s",
-        lambda p, i: ((i > 0) & same(p, F.get("_s", i - 1))) | F.coalesce(same(p, F.get("_s", i + 1)), F.lit(False)),
+        lambda x, i: ((i > 0) & (x["h"] == F.get("_s", i - 1)["h"])) | F.coalesce(x["h"] == F.get("_s", i + 1)["h"], F.lit(False)),
     )
-    out = out.withColumn("_p", twin)
-    misled = F.exists(
-        F.transform("_p", lambda p, i: F.coalesce((i > 0) & same(p, F.get("_p", i - 1)) & (F.get("_h", at(p)) != F.get("_h", at(F.get("_p", i - 1)))), F.lit(False))),
-        lambda x: x,
-    ) | (F.size("_h") > 0xFFFFFF)
-    slow = F.filter(
-        F.sequence(F.lit(0), F.size("_h") - 1), lambda i: F.size(F.filter("_h", lambda h: h == F.get("_h", i))) > 1
-    )
-    spots = F.when(misled, slow).otherwise(F.sort_array(F.transform("_p", at)))
-    out = out.withColumn("_q", spots)
+    out = out.withColumn("_q", F.sort_array(F.transform(twin, lambda x: x["p"])))
     covered = F.aggregate(
         "_q",
         F.struct(F.lit(-3).alias("last"), F.lit(0).alias("n")),
@@ -96,7 +85,7 @@ def quality_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
             "n_dup_lines": (F.size("_l") - F.size(F.array_distinct("_l"))).cast("bigint"),
             "n_repeat_words": F.coalesce(covered, F.lit(0)).cast("bigint"),
         }
-    ).drop("_w", "_h", "_s", "_p", "_q", "_l")
+    ).drop("_w", "_h", "_s", "_q", "_l")
 
 
 def base_failed(min_words: int = 50, max_repeat: int = 50) -> Column:
@@ -138,7 +127,7 @@ def _moments(xs: list[str]) -> list[Column]:
 
 
 def _factor(xs: list[str], scale: float) -> dict[str, Column]:
-    """Columns l_i_j of the Cholesky factor of scale * covariance, floors added to the diagonal."""
+    """Columns c_i_j of scale * covariance, floors added to the diagonal."""
     cov = {}
     for i, a in enumerate(xs):
         for b in xs[i:]:
@@ -148,7 +137,11 @@ def _factor(xs: list[str], scale: float) -> dict[str, Column]:
 
 
 def _with_factor(groups: DataFrame, xs: list[str], scale: float) -> DataFrame:
-    groups = groups.withColumns(_factor(xs, scale))
+    return _cholesky(groups.withColumns(_factor(xs, scale)), xs)
+
+
+def _cholesky(groups: DataFrame, xs: list[str]) -> DataFrame:
+    """groups with l_i_j, the Cholesky factor of their c_i_j."""
     for j, b in enumerate(xs):  # column by column; each withColumn uses the ones before
         rest = F.col(f"c_{b}_{b}")
         for k in xs[:j]:
@@ -188,7 +181,7 @@ def mcd_by_group(rows: DataFrame, key: str, xs: list[str], support: float = 0.75
     counted once; their tables are broadcast if there are at most max_broadcast (of some 40 numbers each), so that rows
     never move by group, and joined by shuffle beyond.
     """
-    scale = 1.0
+    scale, mark = 1.0, begun()
     d = len(xs)
     med = written(rows.groupBy(key).agg(F.count("*").alias("n"), *[F.percentile_approx(x, 0.5, accuracy).alias(f"m_{x}") for x in xs]), "mcd-start")
     small = med.limit(max_broadcast + 1).count() <= max_broadcast
@@ -201,24 +194,26 @@ def mcd_by_group(rows: DataFrame, key: str, xs: list[str], support: float = 0.75
         for b in xs[i:]:
             square = F.col(f"m_{a}") * F.col(f"m_{b}")
             groups = groups.withColumn(f"s_{a}_{b}", square + (1.4826 * F.col(f"a_{a}")) ** 2 if a == b else square)
-    lowest = None
+    log_det = sum(2.0 * F.log(f"l_{x}_{x}") for x in xs)
+    groups = groups.withColumn("low", F.lit(None).cast("double"))
+    steps = 0
     while True:
-        groups = written(_with_factor(groups, xs, scale), "mcd-step")
-        if scale != 1.0:  # the start's scatter isn't of chosen rows
-            now = groups.select(key, sum(2.0 * F.log(f"l_{x}_{x}") for x in xs).alias("now"))
-            if lowest is not None:
-                now = written(now.join(of(lowest), key), "mcd-fall")
-                fall = now.agg(F.max(F.col("low") - F.col("now"))).first()[0]
-                if fall is None or fall <= tolerance:
-                    break
-                now = now.select(key, F.least("low", "now").alias("now"))
-            lowest = now.withColumnRenamed("now", "low")
-        near = _distance(rows.join(of(groups), key), xs).select(key, *xs, "d2")
+        groups = written(_with_factor(groups, xs, scale).withColumn("now", log_det), "mcd-step")
+        if steps > 1:  # the start's scatter isn't of chosen rows
+            fall = groups.agg(F.max(F.col("low") - F.col("now"))).first()[0]
+            if fall is None or fall <= tolerance:
+                break
+        lowest = groups.select(key, (F.least("low", "now") if steps else F.lit(None).cast("double")).alias("low"))
+        near = _distance(rows.join(of(groups.drop("low", "now")), key), xs).select(key, *xs, "d2")
         cut = written(near.groupBy(key).agg(F.percentile_approx("d2", support, accuracy).alias("cut")), "mcd-cut")
-        groups = near.join(of(cut), key).filter("d2 <= cut").groupBy(key).agg(*_moments(xs))
+        groups = near.join(of(cut), key).filter("d2 <= cut").groupBy(key).agg(*_moments(xs)).join(of(lowest), key)
         # the chosen rows' scatter is too small by a factor that depends on the support (Croux and Haesbroeck)
         scale = support / _chi2_cdf(chi2_quantile(support, d), d + 2)
-    return written(groups.drop("n").join(med.select(key, F.col("n").alias("n_all")), key), "mcd")
+        steps += 1
+    groups = groups.drop("low", "now")
+    out = written(groups.drop("n").join(med.select(key, F.col("n").alias("n_all")), key), "mcd")
+    removed_since(rows.sparkSession, mark, out)
+    return out
 
 
 def _chi2_cdf(x: float, d: int) -> float:
@@ -226,20 +221,36 @@ def _chi2_cdf(x: float, d: int) -> float:
     return NormalDist().cdf(z)
 
 
+def regularised(groups: DataFrame, xs: list[str], prior_rows: float, max_broadcast: int) -> DataFrame:
+    """groups of mcd_by_group whose keys g are 0, 1 language, 2 language source: (g, means and factors) of the last
+    kind, each weighted with its language's, which is weighted with the overall estimate."""
+    names = [f"m_{x}" for x in xs] + [f"c_{b}_{a}" for i, a in enumerate(xs) for b in xs[i:]]
+    level = groups.select("g", F.split("g", "\x00")[1].alias("lang"), "n_all", *names)
+    above = level.filter("g = '0'").select(*[F.col(c).alias(f"p_{c}") for c in names])
+
+    def weighted(mine: DataFrame) -> DataFrame:
+        own = F.col("n_all") / (F.col("n_all") + F.lit(float(prior_rows)))
+        return mine.select("g", "lang", *[(own * F.col(c) + (1 - own) * F.col(f"p_{c}")).alias(c) for c in names])
+
+    lang = weighted(level.filter("g like '1%'").join(F.broadcast(above)))  # one row above
+    lang = lang.select("lang", *[F.col(c).alias(f"p_{c}") for c in names])
+    return _cholesky(weighted(level.filter("g like '2%'").join(sized_broadcast(lang, max_broadcast), "lang")).drop("lang"), xs)
+
+
 def quality_rules(
     docs: DataFrame,
     text_col: str = "text",
     group_cols: tuple[str, str] = ("lang", "source"),
     confidence: float = 0.999,
     support: float = 0.75,
-    min_group: int = 200,
+    prior_rows: float = 50.0,
     max_broadcast: int = 50_000,
     keep: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """One row per row of docs: the columns `keep` (all but the text by default), the statistics, base_failed, d2, kept."""
     keep = tuple(c for c in docs.columns if c != text_col) if keep is None else keep
-    made = {*STATS, "base_failed", "kept", "d2", "g0", "g1", "_w", "_h", "_l"} | set(XS)
-    keep = tuple(c for c in keep if c not in made)
+    made = {*STATS, "base_failed", "kept", "d2", "g", "g0", "g1", "_w", "_h", "_s", "_q", "_l"} | set(XS)
+    keep = tuple(c for c in keep if c.lower() not in made and not c.lower().startswith(("m_x", "c_x", "l_x", "z_x")))
     xs = list(XS)
     used = dict.fromkeys([*keep, *group_cols, text_col])
     flat = quality_stats(docs.select(*[F.col(f"`{c}`") for c in used]), text_col)
@@ -251,14 +262,10 @@ def quality_rules(
     levels = F.array(F.concat_ws("\x00", F.lit("2"), "g0", "g1"), F.concat_ws("\x00", F.lit("1"), "g0"), F.lit("0"))
     fit = rows.filter("not base_failed").select(F.explode(levels).alias("g"), *xs)
     groups = mcd_by_group(fit, "g", xs, support, max_broadcast=max_broadcast)
-    params = F.struct(*[c for c in groups.columns if c not in ("g", "n_all")])
-    large = groups.filter((F.col("n_all") >= min_group) | (F.col("g") == "0"))
-    of = F.broadcast if large.limit(max_broadcast + 1).count() <= max_broadcast else (lambda t: t)
-    level = lambda k: large.filter(F.col("g").startswith(str(k))).select(F.col("g").alias(f"k{k}"), params.alias(f"e{k}"))
-    joined = rows.withColumns({f"k{k}": levels[2 - k] for k in range(3)})
-    joined = joined.join(of(level(2)), "k2", "left").join(of(level(1)), "k1", "left").join(F.broadcast(level(0)), "k0", "left")
-    joined = joined.withColumn("e", F.coalesce("e2", "e1", "e0")).drop("e0", "e1", "e2", "k0", "k1", "k2")
-    judged = _distance(joined.select("*", "e.*").drop("e"), xs)
+    own = written(regularised(groups, xs, prior_rows, max_broadcast), "mcd-own")
+    removed(docs.sparkSession, groups)
+    joined = rows.withColumn("g", levels[0]).join(sized_broadcast(own, max_broadcast), "g", "left").drop("g")
+    judged = _distance(joined, xs)
     worse = F.lit(False)
     for x in HIGH_IS_BAD:
         worse = worse | (F.col(x) - F.col(f"m_{x}") > 2 * FLOOR[x])
