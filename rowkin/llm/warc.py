@@ -5,18 +5,23 @@ largest page id is a response, the others are revisits that refer to it and hold
 writer stores the records: with CR LF CR LF as its line end, which also ends a WARC record, a part file is a
 well-formed archive (gzip as a whole), written through Hadoop's file systems and so to any store that Spark
 writes to. Equal payloads meet as (SHA-1, largest id) in a partial aggregate, so that a hot payload moves one
-row a task; the payloads themselves move only with their own record.
+row a task; the payloads themselves move once, with their own record, dealt by digest to as many files as their bytes
+ask for. Gzip compresses a file as a whole, so that `offset` is a place in the uncompressed archive.
 
-Reading. binaryFile hands each archive to one task, which walks its records by Content-Length and checks each
-payload's digest.
+Reading. binaryFile hands each archive to one task as one value, which walks its records by Content-Length and checks each
+payload's digest. A file has at most MOST_BYTES before compression, or one record: the longest payload of the table
+bounds the records of a file, also where one payload under one id fills a task.
 
 Index merge. An archive's captures, sorted by (url key, time, page id), are a run. Runs are dealt to ranges of that
-key by Spark's range partitioning, which splits a url with many captures between ranges, and in each range a
-loser tree merges the runs' shares, k-way. The merge finds the runs by itself, as the ascending stretches of
+key by Spark's range partitioning, about RANGE_ROWS captures each, which splits a url with many captures between
+ranges, and in each range a loser tree merges the runs' shares, k-way. The merge finds the runs by itself, as the ascending stretches of
 what arrives: it needs no order from the shuffle, it only gains from it. The ranges one after the other hold
 the captures in global order: every url's history is contiguous and in order of time.
 
-Nulls and odd rows: a null payload is empty; a null url has the url key ")"; a null page id is record
+Captures have no time of their own: they get page id seconds, modulo ten years, after EPOCH. It is written in UTC whatever
+the session's zone, always with a four-digit year, so that dates sort as text; equal dates are in order of the page id.
+
+Nulls and odd rows: a page id may be any bigint; a null payload is empty; a null url has the url key ")"; a null page id is record
 "null"; pages that repeat an id are written as often as they occur, and the page id of the digest's response
 is still one; an empty table gives an empty result. Extra columns are not written.
 """
@@ -25,6 +30,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -32,11 +38,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import sized_broadcast, written
 
 CRLF = "\r\n"
-#: Captures have no time of their own: page id seconds after this instant.
-EPOCH = 1_704_067_200
+EPOCH = "2024-01-01"
+TEN_YEARS = 10 * 365 * 86_400
+#: Payload bytes that a file is meant to have, and the most that it has unless one record has more.
+FILE_BYTES, MOST_BYTES = 32 << 20, 1 << 30
+#: Bytes of a record beside its payload and url.
+HEADERS = 1024
+RANGE_ROWS = 250_000
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -53,29 +64,39 @@ def url_key(url: str) -> str:
     return (",".join(reversed(rest[:cut].split("."))) + ")" + rest[cut:].partition("#")[0]).lower()
 
 
+def capture_date(page_id: Column) -> Column:
+    """WARC date of a page id, by arithmetic on days and seconds: no time zone is involved."""
+    at = F.pmod(F.coalesce(page_id.cast("bigint"), F.lit(0).cast("bigint")), F.lit(TEN_YEARS))
+    two = lambda x: F.lpad(F.floor(x).cast("string"), 2, "0")
+    day = F.date_add(F.lit(EPOCH).cast("date"), F.floor(at / 86_400).cast("int")).cast("string")
+    second = at % 86_400
+    return F.concat(day, F.lit("T"), two(second / 3600), F.lit(":"), two(second % 3600 / 60), F.lit(":"), two(second % 60), F.lit("Z"))
+
+
 def _no_breaks(c: Column) -> Column:
     return F.regexp_replace(c, r"[\r\n]", " ")
 
 
-def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = 0) -> DataFrame:
-    """One row (value: string) per page: its whole WARC record without the last CR LF CR LF."""
+def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = 0, files: int | None = None, max_broadcast: int = 100_000) -> DataFrame:
+    """One row (value: string) per page: its whole WARC record without the last CR LF CR LF; dealt by digest to `files` partitions, if given."""
     p = pages.select(
         F.col(id_col).alias("id"), F.coalesce(F.col(url_col), F.lit("")).alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("payload")
     )
     p = p.withColumns({"digest": base32_sha1(F.col("payload")), "bytes": F.octet_length("payload")})
     shared = p.groupBy("digest").agg(F.max("id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    p = p.join(shared, "digest", "left")
+    shared = written(shared, "warc-digests")  # read twice: to be counted and to be joined
+    p = p.repartition(files, "digest") if files else p
+    p = p.join(sized_broadcast(shared, max_broadcast), "digest", "left")
     revisit = (F.col("first") != F.col("id")) & (F.col("bytes") >= min_bytes)
     p = p.withColumn("revisit", F.coalesce(revisit, F.lit(False)))
     urn = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("null")), F.lit(">"))
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}{CRLF}"))
     block = F.concat(http, F.when(F.col("revisit"), F.lit("")).otherwise(F.col("payload")))
-    when = F.date_format(F.timestamp_seconds(F.lit(EPOCH) + F.coalesce("id", F.lit(0))), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     lines = [
         F.lit("WARC/1.1"),
         F.concat(F.lit("WARC-Type: "), F.when(F.col("revisit"), "revisit").otherwise("response")),
         F.concat(F.lit("WARC-Record-ID: "), urn(F.col("id"))),
-        F.concat(F.lit("WARC-Date: "), when),
+        F.concat(F.lit("WARC-Date: "), capture_date(F.col("id"))),
         F.concat(F.lit("WARC-Target-URI: "), _no_breaks(F.col("url"))),
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("digest")),
         F.concat(F.lit("WARC-Payload-Length: "), F.col("bytes").cast("string")),
@@ -89,10 +110,16 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
     return p.select(F.concat_ws(CRLF, *lines).alias("value"))
 
 
-def write_warc(pages: DataFrame, path: str, records_per_file: int = 20_000, **columns) -> None:
-    """Write pages' records under path, part-*.txt.gz, each a gzipped WARC file of at most records_per_file records."""
-    out = records(pages, **columns).write.option("lineSep", CRLF * 2).option("compression", "gzip")
-    out.option("maxRecordsPerFile", records_per_file).text(path)
+def write_warc(pages: DataFrame, path: str, url_col: str = "url", payload_col: str = "html", file_bytes: int = FILE_BYTES, most_bytes: int = MOST_BYTES, **columns) -> None:
+    """Write pages' records under path, part-*.txt.gz, each a gzipped WARC file of about file_bytes of payload, and of
+    at most most_bytes unless one record has more."""
+    n = F.coalesce(F.octet_length(payload_col), F.lit(0)).cast("bigint") + F.coalesce(F.octet_length(url_col), F.lit(0)) + HEADERS
+    total, longest = pages.agg(F.sum(n), F.max(n)).first()
+    total, cores = total or 0, pages.sparkSession.sparkContext.defaultParallelism
+    files = max(1, math.ceil(total / file_bytes), min(math.ceil(total / (1 << 20)), cores))
+    out = records(pages, url_col=url_col, payload_col=payload_col, files=files, **columns)
+    out = out.write.option("lineSep", CRLF * 2).option("compression", "gzip")
+    out.option("maxRecordsPerFile", max(1, most_bytes // (longest or 1))).text(path)
 
 
 def walk(archive: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
@@ -196,22 +223,28 @@ def ascending_runs(keys: list) -> list[list]:
     return runs
 
 
-def merge_index(captures: DataFrame) -> DataFrame:
+def merge_index(captures: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     """captures (of read_warc) in global order of (url_key, date, number), with range and place, which are that order.
 
     The runs are written to the shared folder, because range partitioning reads them twice: for its sample and to deal.
+    A task holds its range's captures, about range_rows however many there are in all.
     """
-    dealt = written(captures, "warc-runs").repartitionByRange("url_key", "date", "number")
+    runs = written(captures, "warc-runs")
+    rows, cores = runs.count(), captures.sparkSession.sparkContext.defaultParallelism
+    ranges = max(1, math.ceil(rows / range_rows), min(cores, math.ceil(rows / 1000)))
+    dealt = runs.repartitionByRange(ranges, "url_key", "date", "number")
 
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = list(batches)
         if not held:
             return
         rows = pd.concat(held, ignore_index=True)
+        held.clear()
         heads = list(zip(rows["url_key"], rows["date"], rows["number"], range(len(rows)), strict=True))
         order = [x[3] for x in LoserTree(ascending_runs(heads))]
-        out = rows.iloc[order].reset_index(drop=True)
-        yield out.assign(place=range(len(out)))
+        for at in range(0, len(order), 10_000):
+            some = order[at : at + 10_000]
+            yield rows.iloc[some].reset_index(drop=True).assign(place=range(at, at + len(some)))
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dealt.schema.fields)
     merged = dealt.mapInPandas(merge, f"{fields}, place bigint")
