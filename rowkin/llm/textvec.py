@@ -109,3 +109,12 @@ def gram_hash(words: np.ndarray, n: int) -> np.ndarray:
         out *= np.uint64(0x9FB21C651E98DF25)
         out += words[i : i + size]
     return mix(out)
+
+
+def grams_at(words: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """gram_hash(words, n)[at], without the others."""
+    out = np.zeros(len(at), dtype=np.uint64)
+    for i in range(n):
+        out *= np.uint64(0x9FB21C651E98DF25)
+        out += words[at + i]
+    return mix(out)

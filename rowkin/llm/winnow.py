@@ -1,20 +1,24 @@
 """Benchmark decontamination by winnowing.
 
 Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` of the lower-cased (A-Z) texts. Of each benchmark item and each
-document, the hashes of all K-word grams are taken and the smallest of every W consecutive ones is kept with
-its position (the rightmost among equals). A span of WINDOW = W + K - 1 words that item and document share has the
-same W hashes in both, so the same one is kept in both: joining kept hashes finds every shared span of WINDOW
-words or more. A joined pair of positions is extended to both sides word by word (by 64-bit word hashes), so equal
-gram hashes alone make no hit; a maximal run of WINDOW words or more hits its words. An item of fewer words is
-one window, and is looked up by its first word and verified as a whole.
-
-Scale: the benchmark is the smaller side. Its texts are broadcast in blocks of at most block_words words, one pass
-over the documents for each block (a benchmark of any size works; each pass holds a bounded index). Documents
-are not shuffled: they are scanned in Arrow batches, and a batch's memory follows CHUNK or the longest text. With
-several blocks, each block's hit runs of a document are united by an aggregate over contaminated documents only.
+document, the hashes of all K-word grams are taken and the smallest of every W consecutive ones is kept (the
+rightmost among equals). A span of WINDOW = W + K - 1 words that item and document share has the same W hashes in
+both, so the same one is kept in both: joining kept hashes finds every shared window. A document's window whose
+kept hash is joined is extended to all its words and looked up among the items' windows (by a 64-bit hash of its word
+hashes), so equal gram hashes alone make no hit. Each window is looked up once, however often its words are repeated in
+text and item, so that work is linear in the text and in the hits. Hit windows that touch make a span. An item of fewer
+words is one window, and is looked up as a whole.
+
+Scale: the benchmark is the smaller side. It is read in blocks of at most block_words words, or one item; a block's index is
+made once, as sorted arrays of 16 bytes a word, and broadcast, so a benchmark of any size works with bounded memory.
+Documents are not shuffled: they are scanned in Arrow batches, and a batch's memory follows CHUNK or the longest text.
+With several blocks, there is a scan for each; it writes the hits of documents that have any, by row number, to the shared
+folder and its index is given back. They are united by row and joined with the documents: broadcast up to
+max_broadcast rows, beyond it by shuffle. Then docs must give the same rows in the same order each time, as files do.
 
 Nulls and odd rows: a null text has no words and no hits; an item without words has no window; repeated rows
-are judged alike; items that share an id count once a distinct id; a null item id is named "null".
+are judged alike; items that share an id count once a distinct id; a null item id is named "null"; an empty benchmark
+hits nothing; columns named like the results, in any case, are replaced.
 """
 
 from __future__ import annotations
@@ -24,118 +28,143 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textvec import Words, chunks, gram_hash
+from .common import sized_broadcast, written
+from .textvec import Words, chunks, gram_hash, grams_at
 
 WINDOW, K = 10, 5
 
 
-def winnowed(grams: np.ndarray, w: int) -> np.ndarray:
-    """Positions of the kept hashes: the rightmost minimum of each w consecutive ones."""
-    n = len(grams)
-    if n < w:
-        return np.zeros(0, dtype=np.int64)
-    size = n - w + 1
-    low, at = grams[w - 1 : w - 1 + size].copy(), np.full(size, w - 1)
+def kept_of(grams: np.ndarray, w: int) -> np.ndarray:
+    """For each w consecutive hashes the position of the smallest, the rightmost among equals."""
+    size = max(0, len(grams) - w + 1)
+    low, at = grams[w - 1 : w - 1 + size].copy(), np.full(size, w - 1, dtype=np.int64)
     for i in range(w - 2, -1, -1):
         here = grams[i : i + size]
         less = here < low
         low[less], at[less] = here[less], i
-    return np.unique(at + np.arange(size))
+    return at + np.arange(size)
+
+
+class Lookup:
+    """Hashes and the items that have them: sorted pairs."""
+
+    def __init__(self, hashes: list[np.ndarray], items: list[int]):
+        key = np.concatenate([np.zeros(0, dtype=np.uint64), *hashes])
+        item = np.repeat(np.array(items, dtype=np.int32), [len(h) for h in hashes])
+        order = np.lexsort((item, key))
+        key, item = key[order], item[order]
+        new = np.concatenate([[True], (np.diff(key) != 0) | (np.diff(item) != 0)]) if len(key) else np.zeros(0, dtype=bool)
+        self.key, self.item = key[new], item[new]
+
+    def __contains__(self, x: int) -> bool:
+        return bool(self.has(np.array([x], dtype=np.uint64))[0])
+
+    def has(self, x: np.ndarray) -> np.ndarray:
+        if not len(self.key):
+            return np.zeros(len(x), dtype=bool)
+        at = np.searchsorted(self.key, x)
+        at[at == len(self.key)] = 0
+        return self.key[at] == x
+
+    def join(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(index into x, item) of all equal pairs."""
+        low, high = np.searchsorted(self.key, x, side="left"), np.searchsorted(self.key, x, side="right")
+        n = high - low
+        at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+        return np.repeat(np.arange(len(x)), n), self.item[at]
 
 
 class Index:
-    """What is looked up: kept hashes of the items with their places, short items by their first word."""
+    """A block of the benchmark: kept hashes, windows, and items that are shorter than a window, by length."""
 
     def __init__(self, items: list[tuple[str, str | None]], window: int = WINDOW, k: int = K):
-        self.window, self.k, self.ids = window, k, [i for i, _ in items]
-        self.words: list[np.ndarray] = []
+        self.window, self.k = window, k
+        self.ids = sorted({i for i, _ in items})
+        number = {x: i for i, x in enumerate(self.ids)}
+        prints: list[np.ndarray] = []
+        windows: list[tuple[np.ndarray, int]] = []
+        short: dict[int, list[tuple[np.ndarray, int]]] = {}
+        at = 0
         for _, block in chunks([t for _, t in items]):
             w = Words(block, "alnum")
-            self.words += [w.hash[a:b] for a, b in zip(w.first[:-1], w.first[1:], strict=True)]
-        prints: dict[int, list[tuple[int, int]]] = {}
-        self.short: dict[int, list[int]] = {}
-        for item, w in enumerate(self.words):
-            if 0 < len(w) < window:
-                self.short.setdefault(int(w[0]), []).append(item)
-            for p in winnowed(gram_hash(w, k), window - k + 1):
-                prints.setdefault(int(gram_hash(w[p : p + k], k)[0]), []).append((item, int(p)))
-        self.prints = prints
-        self.print_keys = np.array(sorted(prints), dtype=np.uint64)
-        self.short_keys = np.array(sorted(self.short), dtype=np.uint64)
-
-    @staticmethod
-    def _in(keys: np.ndarray, x: np.ndarray) -> np.ndarray:
-        if not len(keys):
-            return np.zeros(len(x), dtype=bool)
-        at = np.searchsorted(keys, x)
-        at[at == len(keys)] = 0
-        return keys[at] == x
-
-    def runs(self, doc: np.ndarray, kept: np.ndarray, shorts: np.ndarray) -> list[tuple[int, int, int]]:
-        """(start, end, item) of the maximal shared runs; kept, shorts: positions whose hash or word is in the index."""
-        out, done = [], {}
-        for p in kept:
-            for item, q in self.prints[int(gram_hash(doc[p : p + self.k], self.k)[0])]:
-                if done.get((item, p - q), -1) >= p:  # inside a run that is known
-                    continue
-                w = self.words[item]
-                n = min(len(doc) - p, len(w) - q)
-                differ = np.flatnonzero(doc[p : p + n] != w[q : q + n])
-                end = p + (differ[0] if len(differ) else n)
-                n = min(p, q)
-                differ = np.flatnonzero(doc[p - n : p] != w[q - n : q])
-                start = p - n + (differ[-1] + 1 if len(differ) else 0)
-                if end > p:
-                    done[item, p - q] = end - 1
-                if end - start >= self.window:
-                    out.append((int(start), int(end), item))
-        for p in shorts:
-            for item in self.short[int(doc[p])]:
-                w = self.words[item]
-                if p + len(w) <= len(doc) and (doc[p : p + len(w)] == w).all():
-                    out.append((int(p), int(p + len(w)), item))
-        return out
-
-
-def hits(index: Index, texts: list[str | None]) -> Iterator[tuple[int, list[tuple[int, int, int]]]]:
-    """(number of words, runs) of each text."""
-    k, w = index.k, index.window - index.k + 1
+            for a, b in zip(w.first[:-1], w.first[1:], strict=True):
+                item, at, n = number[items[at][0]], at + 1, int(b - a)
+                if n >= window:
+                    grams = gram_hash(w.hash[a:b], k)
+                    prints.append(np.unique(grams[kept_of(grams, window - k + 1)]))
+                    windows.append((np.unique(gram_hash(w.hash[a:b], window)), item))
+                elif n:
+                    short.setdefault(n, []).append((gram_hash(w.hash[a:b], n), item))
+        self.prints = Lookup(prints, [0] * len(prints))
+        self.windows = Lookup([h for h, _ in windows], [i for _, i in windows])
+        self.short = {n: Lookup([h for h, _ in x], [i for _, i in x]) for n, x in sorted(short.items())}
+
+    def found(self, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first word, number of words, item) of all windows of the chunk's texts that are items' windows."""
+        of, count = w.text_of(), len(w)
+        out = [(np.zeros(0, dtype=np.int64),) * 3]
+
+        def inside(n: int) -> np.ndarray:
+            """Where n words of one text begin."""
+            return np.flatnonzero(of[: count - n + 1] == of[n - 1 :]) if count >= n else np.zeros(0, dtype=np.int64)
+
+        if len(self.prints.key) and count >= self.window:
+            grams = gram_hash(w.hash, self.k)
+            # winnowing all texts at once: a window's smallest hash is the same with other texts' windows beside it
+            kept, start = kept_of(grams, self.window - self.k + 1), inside(self.window)
+            joined = np.zeros(len(grams), dtype=bool)
+            fingerprints = np.unique(kept[start])
+            joined[fingerprints] = self.prints.has(grams[fingerprints])
+            start = start[joined[kept[start]]]
+            at, item = self.windows.join(grams_at(w.hash, start, self.window))
+            out.append((start[at], np.full(len(at), self.window), item))
+        for n, lookup in self.short.items():
+            start = inside(n)
+            start = start[lookup.has(grams_at(w.hash, start, n))]
+            at, item = lookup.join(grams_at(w.hash, start, n))
+            out.append((start[at], np.full(len(at), n), item))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def hits(index: Index, texts: list[str | None]) -> Iterator[tuple[int, list[tuple[int, int]], set[str]]]:
+    """(number of words, spans (first word, one after the last), ids of items) of each text."""
     for _, block in chunks(texts):
-        words = Words(block, "alnum")
-        count, of = len(words), words.text_of()
-        # grams and windows that cross a border between texts are kept out by their last word's text
-        grams = gram_hash(words.hash, k)
-        low = np.zeros(0, dtype=np.int64)
-        size = count - index.window + 1
-        if size > 0 and len(index.print_keys):
-            whole = of[:size] == of[index.window - 1 :]
-            # winnowing all texts at once: a window's minimum is the same with the windows of other texts beside it
-            best, at = grams[w - 1 : w - 1 + size].copy(), np.full(size, w - 1, dtype=np.int64)
-            for i in range(w - 2, -1, -1):
-                here = grams[i : i + size]
-                less = here < best
-                best[less], at[less] = here[less], i
-            low = np.unique((at + np.arange(size))[whole])
-            low = low[Index._in(index.print_keys, grams[low])]
-        short = np.flatnonzero(Index._in(index.short_keys, words.hash)) if len(index.short_keys) else low[:0]
-        low_cut, short_cut = np.searchsorted(low, words.first), np.searchsorted(short, words.first)
+        w = Words(block, "alnum")
+        start, n, item = index.found(w)
+        if not len(start):
+            yield from ((int(b - a), [], set()) for a, b in zip(w.first[:-1], w.first[1:], strict=True))
+            continue
+        text = np.searchsorted(w.first, start, side="right") - 1
+        by = np.argsort(text, kind="stable")
+        start, n, item = start[by], n[by], item[by]
+        cut = np.searchsorted(text[by], np.arange(len(block) + 1))
         for t in range(len(block)):
-            a, b = words.first[t], words.first[t + 1]
-            mine, brief = low[low_cut[t] : low_cut[t + 1]] - a, short[short_cut[t] : short_cut[t + 1]] - a
-            yield int(b - a), index.runs(words.hash[a:b], mine, brief) if len(mine) or len(brief) else []
+            a, mine = w.first[t], slice(cut[t], cut[t + 1])
+            ids = {index.ids[i] for i in np.unique(item[mine])}
+            yield int(w.first[t + 1] - a), united((start[mine] - a).tolist(), (start[mine] - a + n[mine]).tolist()), ids
+
+
+def united(start: list[int], end: list[int]) -> list[tuple[int, int]]:
+    """The stretches that intervals cover."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(zip(start, end, strict=True)):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
 
 
-def _summary(n_words: int, runs: list[tuple[int, int]], ids: set[str]) -> tuple[int, int, str]:
-    n_hit, upto = 0, 0
-    for a, b in sorted(runs):
-        n_hit += max(0, b - max(a, upto))
-        upto = max(upto, b)
-    return n_hit, len(ids), hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
+def _summary(n_words: int, spans: list[tuple[int, int]], ids: set[str]) -> tuple:
+    sha = hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
+    return n_words, sum(b - a for a, b in spans), len(ids), sha, [{"first": a, "last": b - 1} for a, b in spans]
 
 
+NAMES = ["n_words", "n_hit", "n_items", "items_sha256", "spans"]
 OUT = "n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, spans array<struct<first:int,last:int>>"
 
 
@@ -163,68 +192,63 @@ def decontaminate(
     window: int = WINDOW,
     k: int = K,
     block_words: int = 4_000_000,
+    max_broadcast: int = 100_000,
 ) -> DataFrame:
     """One row per row of docs: the columns `keep` (all by default), n_words, n_hit, n_items, items_sha256, spans, contaminated."""
-    made = ("n_words", "n_hit", "n_items", "items_sha256", "spans", "contaminated", "_row", "_text")
-    keep = tuple(c for c in (docs.columns if keep is None else keep) if c not in made)
-    spark = docs.sparkSession
-    blocks = [spark.sparkContext.broadcast(b) for b in benchmark_blocks(benchmark, item_col, item_text_col, block_words)]
+    made = (*NAMES, "contaminated", "_row", "_text", "_spans", "_ids")
+    keep = tuple(c for c in (docs.columns if keep is None else keep) if c.lower() not in made)
+    context = docs.sparkSession.sparkContext
     source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).alias("_text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields if f.name != "_text")
-
-    if len(blocks) == 1:
-        only = blocks[0]
+    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in source.schema.fields if f.name != "_text")
+    blocks = benchmark_blocks(benchmark, item_col, item_text_col, block_words)
+    first, second = next(blocks), next(blocks, None)
+    index = context.broadcast(Index(first, window, k))
+    if second is None:
 
         def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            index = Index(only.value, window, k)
             for b in batches:
-                rows = []
-                for n, runs in hits(index, b["_text"].tolist()):
-                    n_hit, n_items, sha = _summary(n, [(x, y) for x, y, _ in runs], {index.ids[i] for _, _, i in runs})
-                    rows.append((n, n_hit, n_items, sha, [{"first": x, "last": y - 1} for x, y, _ in runs]))
-                more = pd.DataFrame(rows, columns=["n_words", "n_hit", "n_items", "items_sha256", "spans"], index=b.index)
-                yield pd.concat([b.drop(columns="_text"), more], axis=1)
-
-        out = source.mapInPandas(scan, f"{fields}, {OUT}" if fields else OUT)
+                rows = [_summary(*x) for x in hits(index.value, b["_text"].tolist())]
+                yield pd.concat([b.drop(columns="_text"), pd.DataFrame(rows, columns=NAMES, index=b.index)], axis=1)
+
+        out = source.mapInPandas(scan, fields + OUT)
     else:
-        out = _in_blocks(source, blocks, fields, keep, window, k)
+        out = _in_blocks(source, index, second, blocks, fields, window, k, max_broadcast)
     return out.withColumn("contaminated", F.col("n_hit") > 0)
 
 
-def _in_blocks(source: DataFrame, blocks: list, fields: str, keep: tuple[str, ...], window: int, k: int) -> DataFrame:
-    """As decontaminate, for a benchmark of several blocks: each pass emits its runs, a row's runs are united afterwards."""
-    numbered = source.withColumn("_row", F.monotonically_increasing_id())
-    parts = None
-    for block in blocks:
+def _block_hits(numbered: DataFrame, index: Broadcast) -> DataFrame:
+    """_row, spans (first and end by turns) and ids of the rows that the block hits, in the shared folder."""
 
-        def scan(batches: Iterator[pd.DataFrame], block=block) -> Iterator[pd.DataFrame]:
-            index = Index(block.value, window, k)
-            for b in batches:
-                rows = [
-                    (n, [f"{x} {y}" for x, y, _ in runs], sorted({index.ids[i] for _, _, i in runs}))
-                    for n, runs in hits(index, b["_text"].tolist())
-                ]
-                more = pd.DataFrame(rows, columns=["n_words", "runs", "ids"], index=b.index)
-                yield pd.concat([b.drop(columns="_text"), more], axis=1)
-
-        lead = f"{fields}, " if fields else ""
-        part = numbered.mapInPandas(scan, f"{lead}_row bigint, n_words bigint, runs array<string>, ids array<string>")
-        parts = part if parts is None else parts.unionByName(part)
-    flat = parts.groupBy("_row").agg(
-        *[F.first(f"`{c}`").alias(c) for c in keep],
-        F.first("n_words").alias("n_words"),
-        F.flatten(F.collect_list("runs")).alias("runs"),
-        F.array_distinct(F.flatten(F.collect_list("ids"))).alias("ids"),
-    )  # a row meets as many rows as there are blocks
-
-    def unite(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            found = zip(b["_row"], hits(index.value, b["_text"].tolist()), strict=True)
+            rows = [(row, [x for s in spans for x in s], sorted(ids)) for row, (_, spans, ids) in found if ids]
+            yield pd.DataFrame(rows, columns=["_row", "_spans", "_ids"])
+
+    found = numbered.select("_row", "_text").mapInPandas(scan, "_row bigint, _spans array<bigint>, _ids array<string>")
+    return written(found, "winnow-hits")
+
+
+def _in_blocks(source: DataFrame, index: Broadcast, second: list, blocks: Iterator[list], fields: str, window: int, k: int, max_broadcast: int) -> DataFrame:
+    """As decontaminate, for a benchmark of several blocks: a pass for each, one index at a time."""
+    numbered = source.withColumn("_row", F.monotonically_increasing_id())
+    context, found, block = source.sparkSession.sparkContext, None, second
+    while index is not None:
+        mine = _block_hits(numbered, index)
+        found = mine if found is None else found.unionByName(mine)
+        index.destroy()
+        index = None if block is None else context.broadcast(Index(block, window, k))
+        block = next(blocks, None)
+    both = found.groupBy("_row").agg(F.flatten(F.collect_list("_spans")).alias("_spans"), F.array_distinct(F.flatten(F.collect_list("_ids"))).alias("_ids"))
+    both = written(both, "winnow-united")  # a row meets as many rows as there are blocks
+    joined = numbered.join(sized_broadcast(both, max_broadcast), "_row", "left").drop("_row")
+
+    def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = []
-            for n, runs, ids in zip(b["n_words"], b["runs"], b["ids"], strict=True):
-                pairs = [tuple(map(int, r.split())) for r in runs]
-                n_hit, n_items, sha = _summary(n, pairs, set(ids))
-                rows.append((n, n_hit, n_items, sha, [{"first": x, "last": y - 1} for x, y in pairs]))
-            more = pd.DataFrame(rows, columns=["n_words", "n_hit", "n_items", "items_sha256", "spans"], index=b.index)
-            yield pd.concat([b[list(keep)], more], axis=1)
-
-    return flat.mapInPandas(unite, f"{fields}, {OUT}" if fields else OUT)
+            n = [int(x) for _, block in chunks(b["_text"].tolist()) for x in np.diff(Words(block, "alnum").first)]
+            ends = [[] if s is None else list(s) for s in b["_spans"]]
+            ids = [set() if x is None else set(x) for x in b["_ids"]]
+            rows = [_summary(c, united(s[::2], s[1::2]), x) for c, s, x in zip(n, ends, ids, strict=True)]
+            yield pd.concat([b.drop(columns=["_text", "_spans", "_ids"]), pd.DataFrame(rows, columns=NAMES, index=b.index)], axis=1)
+
+    return joined.mapInPandas(summed, fields + OUT)
