@@ -7,9 +7,10 @@ corpus that pass level 0, level 2 the listed keys that pass level 1, and so on u
 every key of the corpus the answer is then exact, and a url is judged with hashes and bit tests, no join.
 
 Size: level 0 has a false-positive rate of about listed / other keys, so that level 1 is no larger than
-level 0 and a cascade takes O(listed * log(other / listed)) bits. The list is a parameter of checked size
-(max_listed), and so is every level (max_bits); what is broadcast doesn't grow with the corpus but for that
-logarithm. The key universe stays a DataFrame.
+level 0 and a cascade takes O(listed * log(other / listed)) bits; what is broadcast doesn't grow with the corpus but for
+that logarithm. A level's bits are one literal of the plan, an array of 64-bit words. The key universe stays a table, which is
+made distinct once; each level reads what the one before it has left. A list of more than max_listed rules is cut into
+shards by a hash of the key: each shard has cascades of its own, which judge its keys in a pass over the urls.
 
 Nulls and odd rows: a null url and one without :// have an empty host and path, fit no rule and get the
 method's verdict, allow. Repeated rows give repeated results. Columns named like the results are replaced.
@@ -18,6 +19,7 @@ method's verdict, allow. Repeated rows give repeated results. Columns named like
 from __future__ import annotations
 
 import math
+import zlib
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -61,8 +63,10 @@ def url_keys(host: Column, path: Column, rules: list[Rule]) -> Column:
 
 
 def _positions(key: Column, level: int, k: int, m: int) -> list[Column]:
-    """k bit positions in 0..m-1."""
-    return [F.pmod(F.xxhash64(key, F.lit(level), F.lit(j)), F.lit(m)) for j in range(k)]
+    """k bit positions in 0..m-1, from two halves of one hash."""
+    h = F.xxhash64(key, F.lit(level))
+    first, step = F.shiftrightunsigned(h, 33), h.bitwiseAND(F.lit((1 << 31) - 1)).bitwiseOR(F.lit(1).cast("bigint"))
+    return [F.pmod(first + j * step, F.lit(m)) for j in range(k)]
 
 
 @dataclass(frozen=True)
@@ -70,10 +74,10 @@ class Level:
     number: int
     k: int
     m: int
-    words: tuple[int, ...]
+    words: str  # 64-bit words in decimal, joined by commas: one literal, which the optimizer turns into an array once
 
     def passes(self, key: Column) -> Column:
-        words = F.array(*[F.lit(w).cast("bigint") for w in self.words])
+        words = F.split(F.lit(self.words), ",").cast("array<bigint>")
         out = F.lit(True)
         for p in _positions(key, self.number, self.k, self.m):
             word = F.get(words, F.shiftright(p, 6).cast("int"))
@@ -88,11 +92,11 @@ def _level(keys: DataFrame, n: int, rate: float, number: int, max_bits: int) ->
         raise ValueError(f"a filter level needs {m} bits; max_bits is {max_bits}")
     at = keys.select(F.explode(F.array(*_positions(F.col("key"), number, k, m))).alias("p"))
     bit = F.expr("shiftleft(1L, cast(pmod(p, 64) as int))")
-    rows = at.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(bit).alias("b")).collect()  # at most m / 64 rows
+    rows = at.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(bit).alias("b")).toPandas()  # at most m / 64 rows
     words = [0] * (m // 64)
-    for r in rows:
-        words[r["w"]] = r["b"]
-    return Level(number, k, m, tuple(words))
+    for w, b in zip(rows["w"].tolist(), rows["b"].tolist(), strict=True):
+        words[w] = b
+    return Level(number, k, m, ",".join(map(str, words)))
 
 
 @dataclass(frozen=True)
@@ -108,14 +112,14 @@ class Cascade:
 
 
 def build_cascade(listed: DataFrame, universe: DataFrame, max_listed: int = 1_000_000, max_bits: int = 1 << 26) -> Cascade:
-    """listed and universe have a string column key; universe may hold listed keys. Jobs: one or two a level."""
-    listed = listed.select("key").distinct()
-    r = listed.limit(max_listed + 1).count()
+    """listed and universe have a string column key; universe may hold listed keys. Jobs: two or three a level."""
+    listed = written(listed.select("key").distinct(), "url-listed")
+    r = listed.count()
     if r > max_listed:
         raise ValueError(f"more than {max_listed} listed keys")
     if not r:
         return Cascade(())
-    others = universe.select("key").distinct().join(F.broadcast(listed), "key", "left_anti")
+    others = written(universe.select("key").distinct().join(F.broadcast(listed), "key", "left_anti"), "url-others")
     s = others.count()
     inside, outside, levels = listed, others, []
     rate = min(0.5, max(r, 1) * math.sqrt(0.5) / max(s, 1))
@@ -123,35 +127,45 @@ def build_cascade(listed: DataFrame, universe: DataFrame, max_listed: int = 1_00
     while n:
         level = _level(inside, n, rate, len(levels), max_bits)
         levels.append(level)
-        outside = outside.filter(level.passes(F.col("key")))
-        n, rate = outside.count(), 0.5
-        inside, outside = outside, inside
+        passed = written(outside.filter(level.passes(F.col("key"))), "url-passed")
+        removed(outside.sparkSession, outside)
+        n, rate = passed.count(), 0.5
+        inside, outside = passed, inside
         if len(levels) > 64:
             raise RuntimeError("the cascade doesn't end; are keys listed twice with different spelling?")
+    removed(inside.sparkSession, inside)
+    removed(outside.sparkSession, outside)
     return Cascade(tuple(levels))
 
 
-def url_filter(pages: DataFrame, rules: list[Rule], url_col: str = "url", otherwise: str = "allow") -> DataFrame:
+def url_filter(pages: DataFrame, rules: list[Rule], url_col: str = "url", otherwise: str = "allow", max_listed: int = 1_000_000) -> DataFrame:
     """pages with host, path, rule (the longest that fits, else null) and verdict (block or allow)."""
     spark = pages.sparkSession
+    pages = pages.drop("_verdicts", "_hit")
     split = pages.withColumns({"host": host_of(F.col(url_col)), "path": path_of(F.col(url_col))})
     keys = url_keys(F.col("host"), F.col("path"), rules)
     universe = written(split.select(F.explode(keys).alias("key")).distinct(), "url-keys")
-    cascades = {}
-    for action in ("block", "allow"):
-        mine = [(r.key,) for r in rules if r.action == action]
-        cascades[action] = build_cascade(spark.createDataFrame(mine, "key string"), universe)
+    shards = max(1, math.ceil(len(rules) / max_listed))
+    shard = lambda key: F.pmod(F.crc32(key.cast("binary")), F.lit(shards))
+    for s in range(shards):
+        cascades = {}
+        for action in ("block", "allow"):
+            mine = [(r.key,) for r in rules if r.action == action and zlib.crc32(r.key.encode()) % shards == s]
+            there = universe if shards == 1 else universe.filter(shard(F.col("key")) == s)
+            cascades[action] = build_cascade(spark.createDataFrame(mine, "key string"), there, max_listed=len(mine) or 1)
+        verdict = lambda k: F.when(cascades["block"].listed(k), "block").when(cascades["allow"].listed(k), "allow")  # noqa: B023, E731
+        if shards == 1:
+            split = split.withColumn("_verdicts", F.transform(keys, verdict))
+            break
+        before = F.col("_verdicts") if s else F.array().cast("array<string>")
+        judged = F.transform(keys, lambda k, i: F.when(shard(k) == s, verdict(k)).otherwise(F.get(before, i)))  # noqa: B023
+        split = written(split.withColumn("_verdicts", judged), "url-judged")
     removed(spark, universe)
-
-    def judged(k: Column) -> Column:
-        verdict = F.when(cascades["block"].listed(k), "block").when(cascades["allow"].listed(k), "allow")
-        return F.struct(k.alias("key"), verdict.alias("verdict"))
-
-    hit = F.get(F.filter(F.transform(keys, judged), lambda x: x["verdict"].isNotNull()), F.lit(0))
+    hit = F.get(F.filter(F.zip_with(keys, "_verdicts", lambda k, v: F.struct(k.alias("key"), v.alias("verdict"))), lambda x: x["verdict"].isNotNull()), F.lit(0))
     return (
         split.withColumn("_hit", hit)
         .withColumns({"rule": F.col("_hit.key"), "verdict": F.coalesce(F.col("_hit.verdict"), F.lit(otherwise))})
-        .drop("_hit")
+        .drop("_hit", "_verdicts")
     )
 
 
