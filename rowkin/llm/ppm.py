@@ -14,13 +14,14 @@ totals and that sum, all taken by sorting, with no walk through the trie.
 
 Base. log10((c + 1) / (N + V + 1)) summed over words and one end per text; c, N, V are counts over all training texts.
 
-Scale. The trie isn't broadcast and has no bound: it is a table. Texts are cut into pieces of 2^PIECE_BITS rows; each piece's
-distinct (ORDER + 1)-byte strings and words, with their training counts, are packed by family (a context's last two
-bytes, or the first bits of a word's hash) as compressed differences of sorted keys, and dealt by family. There the
+Scale. The trie isn't broadcast and has no bound: it is a table. A partition's texts are cut into pieces of about PIECE_BYTES; each
+piece's distinct (ORDER + 1)-byte strings and words, with their training counts, are packed by family (a hash of a context's
+last three bytes, or the first bits of a word's hash) as compressed differences of sorted keys, and dealt by family. There the
 counts of a family are summed over all pieces and each piece's keys get their code lengths or counts, packed alike; they
-go back to the piece and meet its texts. A string that is everywhere is one number a piece, not one row an
-occurrence, so frequent strings don't make hot tasks. Only contexts of one byte or none, at most 65,536
-numbers however large the corpus, are broadcast. Texts are shuffled once, to meet their piece's values.
+go back to the piece and meet its texts, which stream past them. A string that is everywhere is one number a piece, not one
+row an occurrence, so frequent strings don't make hot tasks. Counts of three-byte strings, at most 2^24 numbers however
+large the corpus, are broadcast. Texts are shuffled once, to meet their piece's values. A task holds one family of all
+pieces, or the values of one piece and a batch of texts.
 
 Words are known by 63 bits of a hash; two of a billion distinct words collide with a chance of a few per cent, and
 then share a count.
@@ -35,16 +36,20 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import crc_mod, written
-from .textvec import Words, chunks
+from .textvec import Words, chunks, mix
 
 ORDER = 5
-PIECE_BITS = 14
+PIECE_BYTES = 32 << 20
+#: A piece's number is its partition's, times 2^PIECE_BITS, plus its own there.
+PIECE_BITS = 24
+FAMILY_BITS = 12
 START, END, SYMBOLS = 0xFE, 0xFF, 256
 #: Keys of words have the top bit but one set; strings of up to six bytes never reach it.
 WORD = np.int64(1) << np.int64(62)
@@ -119,19 +124,39 @@ def unpacked_keys(b: bytes) -> np.ndarray:
 
 
 def families_of(keys: np.ndarray, word_bits: int) -> np.ndarray:
-    """Strings: the context's last two bytes. Words: after those, the hash's first word_bits bits."""
-    words = (1 << 16) + ((keys >> np.int64(62 - word_bits)) & np.int64((1 << word_bits) - 1))
-    return np.where(keys >= WORD, words, (keys >> 8) & 0xFFFF)
+    """Strings: a hash of the context's last three bytes. Words: after those, the hash's first word_bits bits."""
+    words = (1 << FAMILY_BITS) + ((keys >> np.int64(62 - word_bits)) & np.int64((1 << word_bits) - 1))
+    strings = mix(((keys >> 8) & 0xFFFFFF).astype(np.uint64)) >> np.uint64(64 - FAMILY_BITS)
+    return np.where(keys >= WORD, words, strings.astype(np.int64))
+
+
+def pieces_of(b: pa.RecordBatch, state: list[int], piece_bytes: int) -> np.ndarray:
+    """The batch's rows' pieces; state: [piece, its bytes], kept from batch to batch of a partition."""
+    size = pc.fill_null(pc.binary_length(b.column("_t").cast(pa.large_binary())), 0).to_numpy().astype(np.int64) + 1
+    out = np.empty(len(size), dtype=np.int64)
+    if not state:
+        state += [TaskContext.get().partitionId() << PIECE_BITS, 0]
+    at = 0
+    ends = np.cumsum(size)
+    while at < len(size):  # a piece ends with the text that fills it, wherever batches end
+        before = ends[at - 1] if at else 0
+        upto = min(len(size), int(np.searchsorted(ends, before + piece_bytes - state[1])) + 1)
+        out[at:upto] = state[0]
+        state[1] += int(ends[upto - 1] - before)
+        if state[1] >= piece_bytes:
+            state[0], state[1] = state[0] + 1, 0
+        at = upto
+    return out
 
 
 PACKED = "piece bigint, family int, keys binary, n binary"
 
 
-def _piece_keys(order: int, word_bits: int):
+def _piece_keys(order: int, word_bits: int, piece_bytes: int):
     """PACKED: each piece's distinct strings and words and how often training texts of the piece have them."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece, sums = None, _Sums()
+        piece, sums, state = None, _Sums(), []
 
         def done():
             k, n = sums.merged()
@@ -145,7 +170,7 @@ def _piece_keys(order: int, word_bits: int):
             return pa.RecordBatch.from_arrays(columns, names=["piece", "family", "keys", "n"])
 
         for b in batches:
-            pieces, learn = b.column("piece").to_numpy(), b.column("learn").to_numpy(zero_copy_only=False)
+            pieces, learn = pieces_of(b, state, piece_bytes), b.column("learn").to_numpy(zero_copy_only=False)
             texts = b.column("_t").to_pylist()
             cuts = [0, *(np.flatnonzero(np.diff(pieces)) + 1).tolist(), len(pieces)]
             for x, y in zip(cuts[:-1], cuts[1:], strict=True):
@@ -166,26 +191,52 @@ def _piece_keys(order: int, word_bits: int):
     return scan
 
 
+def _pieced(piece_bytes: int):
+    """doc_id, _t and the same pieces as _piece_keys has."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state: list[int] = []
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(pieces_of(b, state, piece_bytes)), b.column("doc_id"), b.column("_t")], names=["piece", "doc_id", "_t"])
+
+    return scan
+
+
 def _low_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(pair, n): counts of two-byte strings (START or a byte, then a byte or END) and, as pair -1, of base tokens."""
-    total, tokens = np.zeros(1 << 16, dtype=np.int64), 0
+    """(low, n): counts of three-byte strings (START or a byte, twice, then a byte or END) and, as low -1, of base tokens."""
+    total, tokens = np.zeros(1 << 24, dtype=np.int64), 0
     for b in batches:
         for _, block in chunks(b.column("_t").to_pylist()):
-            total += np.bincount(grams(block, 1)[0], minlength=1 << 16)
+            seen, n = np.unique(grams(block, 2)[0], return_counts=True)
+            total[seen] += n
             tokens += len(Words(block)) + len(block)
     seen = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(np.r_[seen, -1]), pa.array(np.r_[total[seen], tokens])], names=["pair", "n"])
+    yield pa.RecordBatch.from_arrays([pa.array(np.r_[seen, -1]), pa.array(np.r_[total[seen], tokens])], names=["low", "n"])
 
 
 class LowOrders:
-    """Contexts of one byte and none: counts, totals, distinct symbols, and what an escape from them excludes below."""
-
-    def __init__(self, pairs: np.ndarray):
-        self.c1 = pairs.reshape(256, 256)
+    """Contexts of two bytes, one and none: counts, totals, distinct symbols, and what an escape from them excludes below."""
+
+    def __init__(self, strings: np.ndarray, n: np.ndarray):
+        """strings: the three-byte strings of training, ascending, and how often they occur."""
+        self.strings, self.n = strings, n
+        context, pair = strings >> 8, strings & 0xFFFF
+        self.c1 = np.bincount(pair, weights=n, minlength=1 << 16).reshape(256, 256)
+        self.t2 = np.bincount(context, weights=n, minlength=1 << 16)
+        self.u2 = np.bincount(context, minlength=1 << 16)
+        self.x2 = np.bincount(context, weights=self.c1.ravel()[pair], minlength=1 << 16)  # counts at order 1 of what it has seen
         self.t1, self.u1 = self.c1.sum(axis=1), (self.c1 > 0).sum(axis=1)
         self.c0 = self.c1.sum(axis=0)
         self.t0, self.u0 = int(self.c0.sum()), int((self.c0 > 0).sum())
-        self.x1 = ((self.c1 > 0) * self.c0).sum(axis=1)  # counts at order 0 of what a context of one byte has seen
+        self.x1 = ((self.c1 > 0) * self.c0).sum(axis=1)
+
+    def c2(self, strings: np.ndarray) -> np.ndarray:
+        """How often each three-byte string occurs."""
+        if not len(self.strings):
+            return np.zeros(len(strings))
+        at = np.searchsorted(self.strings, strings)
+        at[at == len(self.strings)] = 0
+        return np.where(self.strings[at] == strings, self.n[at], 0).astype(float)
 
 
 def _step(c, total, distinct, out, escape, open_):
@@ -206,11 +257,11 @@ def code_lengths(strings: np.ndarray, n: np.ndarray, low: LowOrders, order: int
     """log10 probability of each string's last byte after its others.
 
     strings: distinct, ascending, with their training counts n (0: not in training), and complete: with a string of
-    training every other one whose context ends in the same two bytes.
+    training every other one whose context ends in the same three bytes.
     """
     size = len(strings)
     counts, totals, distinct, excluded, context_of = {}, {}, {}, {}, {}
-    for k in range(order, 1, -1):
+    for k in range(order, 2, -1):
         mask = np.int64((1 << (8 * (k + 1))) - 1)
         g, inverse = np.unique(strings & mask, return_inverse=True)
         c = np.bincount(inverse, weights=n, minlength=len(g))
@@ -219,19 +270,19 @@ def code_lengths(strings: np.ndarray, n: np.ndarray, low: LowOrders, order: int
         totals[k] = np.bincount(of, weights=c)[of][inverse]
         distinct[k] = np.bincount(of, weights=c > 0)[of][inverse]
         context_of[k] = (g, c, of, inverse)
-    b1, s = (strings >> 8) & 0xFF, strings & 0xFF
-    counts[1], totals[1], distinct[1] = low.c1[b1, s], low.t1[b1], low.u1[b1]
+    b2, b1, s = (strings >> 8) & 0xFFFF, (strings >> 8) & 0xFF, strings & 0xFF
+    counts[2], totals[2], distinct[2], excluded[2] = low.c2(strings & 0xFFFFFF), low.t2[b2], low.u2[b2], low.x2[b2]
+    counts[1], totals[1], distinct[1], excluded[1] = low.c1[b1, s], low.t1[b1], low.u1[b1], low.x1[b1]
     counts[0], totals[0], distinct[0] = low.c0[s], np.full(size, low.t0), np.full(size, low.u0)
-    for k in range(order, 1, -1):
+    for k in range(order, 2, -1):
         g, c, of, inverse = context_of[k]
-        below = np.zeros(len(g))
-        if k > 2:
+        shorter = g & np.int64((1 << (8 * k)) - 1)
+        if k > 3:
             g2, c2, _, _ = context_of[k - 1]
-            below = c2[np.searchsorted(g2, g & np.int64((1 << (8 * k)) - 1))]
+            below = c2[np.searchsorted(g2, shorter)]
         else:
-            below = low.c1[(g >> 8) & 0xFF, g & 0xFF]
+            below = low.c2(shorter)
         excluded[k] = np.bincount(of, weights=np.where(c > 0, below, 0))[of][inverse]
-    excluded[1] = low.x1[b1]
     out, escape = np.zeros(size), np.zeros(size)
     open_ = np.ones(size, dtype=bool)
     gone, gone_distinct = np.zeros(size), np.zeros(size)
@@ -249,24 +300,34 @@ VALUED = "piece bigint, family int, keys binary, value binary, known bigint"
 
 
 def _valued(low, order: int):
-    """VALUED: the strings' code lengths (float32), the words' counts (int64); known: the family's words of training, once."""
+    """VALUED: the strings' code lengths (float32), the words' counts (int64); known: the family's words of training, once.
+
+    Rows come sorted by family; one family is held at a time.
+    """
+
+    def of(family: int, rows: list[tuple]) -> pa.RecordBatch:
+        keys = [unpacked_keys(r[1]) for r in rows]
+        cut = np.cumsum([0, *map(len, keys)])
+        distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+        count = np.bincount(inverse, weights=np.concatenate([unpacked(r[2], "<i8") for r in rows]), minlength=len(distinct))
+        words = family >= 1 << FAMILY_BITS
+        value = count.astype(np.int64) if words else code_lengths(distinct, count, low.value, order).astype(np.float32)
+        known = [int((count > 0).sum()) if words else 0] + [0] * (len(rows) - 1)
+        columns = [pa.array([r[0] for r in rows], pa.int64()), pa.array([family] * len(rows), pa.int32()), pa.array([r[1] for r in rows], pa.binary())]
+        columns.append(pa.array([packed(value[inverse[x:y]]) for x, y in zip(cut[:-1], cut[1:], strict=True)], pa.binary()))
+        return pa.RecordBatch.from_arrays([*columns, pa.array(known, pa.int64())], names=["piece", "family", "keys", "value", "known"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        families: dict[int, list[tuple]] = {}
+        family, held = None, []
         for b in batches:
             for row in zip(*(b.column(c).to_pylist() for c in ("family", "piece", "keys", "n")), strict=True):
-                families.setdefault(row[0], []).append(row[1:])
-        for family, rows in families.items():
-            keys = [unpacked_keys(r[1]) for r in rows]
-            cut = np.cumsum([0, *map(len, keys)])
-            distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-            count = np.bincount(inverse, weights=np.concatenate([unpacked(r[2], "<i8") for r in rows]), minlength=len(distinct))
-            words = family >= 1 << 16
-            value = count.astype(np.int64) if words else code_lengths(distinct, count, low.value, order).astype(np.float32)
-            known = [int((count > 0).sum()) if words else 0] + [0] * (len(rows) - 1)
-            columns = [pa.array([r[0] for r in rows], pa.int64()), pa.array([family] * len(rows), pa.int32()), pa.array([r[1] for r in rows], pa.binary())]
-            columns.append(pa.array([packed(value[inverse[x:y]]) for x, y in zip(cut[:-1], cut[1:], strict=True)], pa.binary()))
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(known, pa.int64())], names=["piece", "family", "keys", "value", "known"])
+                if held and row[0] != family:
+                    yield of(family, held)
+                    held = []
+                family = row[0]
+                held.append(row[1:])
+        if held:
+            yield of(family, held)
 
     return scan
 
@@ -274,50 +335,65 @@ def _valued(low, order: int):
 OUT = "n_tokens bigint, n_known bigint, base_log double, score double"
 
 
-def _scored(order: int, columns: list[str]):
-    def score(texts: pd.DataFrame, values: pd.DataFrame) -> pd.DataFrame:
-        tables = {}
+class Values:
+    """A piece's strings with their code lengths and words with their counts."""
+
+    def __init__(self, rows: list[tuple[int, bytes, bytes]]):
+        self.tables = {}
         for words in (False, True):
-            mine = values[(values["family"] >= 1 << 16) == words]
-            keys = np.concatenate([np.zeros(0, dtype=np.int64), *map(unpacked_keys, mine["keys"])])
-            value = np.concatenate([np.zeros(0, dtype="<f4"), *(unpacked(v, "<i8" if words else "<f4") for v in mine["value"])])
+            mine = [r for r in rows if (r[0] >= 1 << FAMILY_BITS) == words]
+            keys = np.concatenate([np.zeros(0, dtype=np.int64), *(unpacked_keys(r[1]) for r in mine)])
+            value = np.concatenate([np.zeros(0, dtype="<f4"), *(unpacked(r[2], "<i8" if words else "<f4") for r in mine)])
             by = np.argsort(keys)
-            tables[words] = keys[by], value[by]
-
-        def of(k: np.ndarray, words: bool) -> np.ndarray:
-            keys, value = tables[words]
-            at = np.searchsorted(keys, k)
-            at[at == len(keys)] = 0
-            if len(k) and (not len(keys) or (keys[at] != k).any()):
-                raise RuntimeError("a text changed its piece between two reads; its input isn't deterministic")
-            return value[at].astype(np.float64)
-
-        rows = []
-        for _, block in chunks(texts["_t"].tolist()):
+            self.tables[words] = keys[by], value[by]
+
+    def of(self, k: np.ndarray, words: bool) -> np.ndarray:
+        keys, value = self.tables[words]
+        at = np.searchsorted(keys, k)
+        at[at == len(keys)] = 0
+        if len(k) and (not len(keys) or (keys[at] != k).any()):
+            raise RuntimeError("a text changed its piece between two reads; its input isn't deterministic")
+        return value[at].astype(np.float64)
+
+
+def _scored(order: int):
+    """Rows come sorted by (piece, is_text): a piece's values, then its texts, which are scored batch by batch."""
+
+    def of(values: Values, ids: pa.Array, texts: list[str | None]) -> Iterator[pa.RecordBatch]:
+        end = values.of(np.array([END_WORD]), True)[0]
+        at = 0
+        for _, block in chunks(texts):
             strings, starts = grams(block, order)
-            score = np.add.reduceat(of(strings, False), starts)
+            score = np.add.reduceat(values.of(strings, False), starts)
             words, first = word_keys(block)
-            count = of(words, True)
-            end = of(np.array([END_WORD]), True)[0]
+            count = values.of(words, True)
             logs = np.concatenate([[0.0], np.cumsum(np.log10(count + 1))])
             known = np.concatenate([[0], np.cumsum(count > 0)])
-            rows.append(
-                pd.DataFrame(
-                    {
-                        "n_tokens": np.diff(first) + 1,
-                        "n_known": known[first[1:]] - known[first[:-1]] + int(end > 0),
-                        "base_log": logs[first[1:]] - logs[first[:-1]] + np.log10(end + 1),
-                        "score": score,
-                    }
-                )
-            )
-        more = pd.concat(rows, ignore_index=True) if rows else pd.DataFrame(columns=["n_tokens", "n_known", "base_log", "score"])
-        return pd.concat([texts[columns].reset_index(drop=True), more], axis=1)
-
-    return score
-
-
-def ppm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held_out: int = 2, order: int = ORDER) -> DataFrame:
+            columns = [ids.slice(at, len(block)), pa.array(np.diff(first) + 1), pa.array(known[first[1:]] - known[first[:-1]] + int(end > 0))]
+            columns += [pa.array(logs[first[1:]] - logs[first[:-1]] + np.log10(end + 1)), pa.array(score)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "n_known", "base_log", "score"])
+            at += len(block)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        piece, held, values = None, [], None
+        for b in batches:
+            pieces, is_text = b.column("piece").to_numpy(), b.column("is_text").to_numpy(zero_copy_only=False).astype(bool)
+            cuts = np.flatnonzero(np.concatenate([[True], (np.diff(pieces) != 0) | (is_text[1:] != is_text[:-1]), [True]])).tolist()
+            for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+                part = b.slice(x, y - x)
+                if pieces[x] != piece:
+                    piece, held, values = pieces[x], [], None
+                if is_text[x]:
+                    if values is None:
+                        values, held = Values(held), []
+                    yield from of(values, part.column("doc_id"), part.column("_t").to_pylist())
+                else:
+                    held += zip(*(part.column(c).to_pylist() for c in ("family", "keys", "value")), strict=True)
+
+    return scan
+
+
+def ppm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held_out: int = 2, order: int = ORDER, piece_bytes: int = PIECE_BYTES) -> DataFrame:
     """One row per row of docs: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     docs must give the same rows in the same order each time it is read, as files do.
@@ -327,26 +403,30 @@ def ppm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_t"))
     learn = crc_mod(F.col("doc_id"), folds) != held_out
-    counts = source.filter(learn).select("_t").mapInArrow(_low_counts, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
-    pairs, tokens = np.zeros(1 << 16, dtype=np.int64), 0
-    for r in counts.collect():  # at most 65,537 rows
-        if r["pair"] < 0:
-            tokens = r["n"]
-        else:
-            pairs[r["pair"]] = r["n"]
-    low = spark.sparkContext.broadcast(LowOrders(pairs))
-
-    pieced = source.withColumn("piece", F.shiftright(F.monotonically_increasing_id(), PIECE_BITS))
-    n_rows = max(1, source.count())
-    word_bits = min(16, 6 + (n_rows >> PIECE_BITS).bit_length())
-    keys = pieced.select("piece", learn.alias("learn"), "_t").mapInArrow(_piece_keys(order, word_bits), PACKED)
-    valued = written(keys.repartition("family").mapInArrow(_valued(low, order), VALUED), "ppm-values")
-    vocabulary = valued.agg(F.sum("known")).first()[0] or 0
+    counts = source.filter(learn).select("_t").mapInArrow(_low_counts, "low bigint, n bigint").groupBy("low").agg(F.sum("n").alias("n")).toPandas()
+    tokens = int(counts.loc[counts["low"] < 0, "n"].sum())
+    seen = counts[counts["low"] >= 0].sort_values("low")  # at most 2^24 rows
+    low = spark.sparkContext.broadcast(LowOrders(seen["low"].to_numpy(np.int64), seen["n"].to_numpy(np.int64)))
+
+    n_bytes = source.agg(F.sum(F.octet_length("_t"))).first()[0] or 0
+    word_bits = min(16, 6 + (n_bytes // piece_bytes).bit_length())
+    known = source.withColumn("learn", learn)
+    keys = known.mapInArrow(_piece_keys(order, word_bits, piece_bytes), PACKED)
+    dealt = keys.repartition("family").sortWithinPartitions("family")
+    valued = written(dealt.mapInArrow(_valued(low, order), VALUED), "ppm-values")
+    own = F.col("piece").bitwiseAND(F.lit((1 << PIECE_BITS) - 1))
+    last, most, vocabulary = valued.agg(F.max(F.shiftright("piece", PIECE_BITS)), F.max(own), F.sum("known")).first()
+    parts = (last or 0) + 1
 
-    texts = pieced.select("piece", "doc_id", "_t")
     id_type = docs.schema[id_col].dataType.simpleString()
-    met = texts.groupBy("piece").cogroup(valued.select("piece", "family", "keys", "value").groupBy("piece"))
-    scored = met.applyInPandas(_scored(order, ["doc_id"]), f"doc_id {id_type}, {OUT}")
+    texts = known.mapInArrow(_pieced(piece_bytes), f"piece bigint, doc_id {id_type}, _t string").withColumn("is_text", F.lit(True))
+    both = texts.unionByName(valued.select("piece", "family", "keys", "value").withColumn("is_text", F.lit(False)), allowMissingColumns=True)
+    # each piece in a partition of its own, unless a few partitions have far more pieces than the others
+    tasks = min(parts * ((most or 0) + 1), max(parts, n_bytes // piece_bytes) * 4)
+    task = F.pmod(F.shiftright("piece", PIECE_BITS) + own * parts, F.lit(tasks)).cast("int")
+    met = both.withColumn("task", task).repartitionById(int(tasks), "task").sortWithinPartitions("piece", "is_text")
+    scored = met.mapInArrow(_scored(order), f"doc_id {id_type}, {OUT}")
+    vocabulary = vocabulary or 0
     base = F.col("base_log") - F.col("n_tokens") * F.lit(float(np.log10(tokens + vocabulary + 1)))
     return scored.select(
         "doc_id",
