@@ -3,7 +3,7 @@
 Tokens are words `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` of the lower-cased (A-Z) text. A word is known by itself and by its
 beginnings of PREFIXES bytes, since toxic stems take endings. The log-odds of toxic against other training text are
 taken for each of these, with a Dirichlet prior in proportion to its frequency in both, and count only if they are
-away from zero by `sure` standard errors; a word has the log-odds of the surest of its forms. Every word also
+away from zero by `sure` standard errors (the signed root of the likelihood ratio, which holds for small counts, too); a word has the log-odds of the surest of its forms. Every word also
 pays a drift, so that clean text has a negative expected score. The linear-time scan of Ruzzo and Tompa finds all maximal segments of a text: its passages
 whose score can't be improved by moving either end. By Karlin and Altschul's theory the best score of a clean text
 of n tokens has an extreme-value distribution in lambda * score - log n; lambda solves E[exp(lambda s)] = 1 over clean
@@ -12,8 +12,8 @@ evidence sum max(0, lambda * score - log n - location); a logistic of (evidence,
 tail) turns them into the probability of a toxic label.
 
 Scale: learned from at most n_toxic + n_clean labelled rows (documented bounds), chosen by a hash of their ids, which
-are broadcast. Token counts are aggregated in Spark; the model keeps at most max_tokens tokens with the surest
-log-odds. Scoring is one scan in Arrow batches without a shuffle; a text's scan only visits its positive tokens.
+are broadcast; their texts are written once and the model is fitted from those. Token counts are aggregated in Spark, and all
+tokens that are sure enough make the model: what comes to the driver is bounded by the sample. Scoring is one scan in Arrow batches without a shuffle; a text's scan only visits its positive tokens.
 
 Nulls and odd rows: a null or empty text has no segments and the score of no evidence; a null id isn't learned from;
 repeated rows are scored alike; without toxic rows to learn from every score is 0.
@@ -25,10 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod
+from .common import crc_mod, removed, written
 from .labelled import learning_labels, logistic, sample_ids, scan_texts
 from .textvec import Words, chunks
 
@@ -128,16 +128,22 @@ def token_counts(docs: DataFrame) -> DataFrame:
 
 
 def log_odds(counts: pd.DataFrame, strength: float = 0.05) -> pd.DataFrame:
-    """counts: token, bad, good. Adds odds (log-odds with a Dirichlet prior) and z (standard errors from the common ratio).
+    """counts: token, bad, good. Adds odds: log-odds with a Dirichlet prior.
 
     The prior's mass is `strength` times all counts, dealt in proportion to a token's frequency in both classes.
     """
     bad, good = counts["bad"].to_numpy(float), counts["good"].to_numpy(float)
     prior = strength * (bad + good)
     odds = lambda y: np.log((y + prior) / np.maximum(y.sum() + prior.sum() - y - prior, 1e-9))
-    ratio = bad.sum() / max(1.0, (bad + good).sum())
-    z = (bad - ratio * (bad + good)) / np.sqrt(np.maximum(ratio * (1 - ratio) * (bad + good), 1e-9))
-    return counts.assign(odds=odds(bad) - odds(good), z=z)
+    return counts.assign(odds=odds(bad) - odds(good))
+
+
+def sureness(ratio: float) -> Column:
+    """Signed root of the likelihood ratio of a token's counts bad and good against the common share `ratio` of bad."""
+    n = F.col("bad") + F.col("good")
+    part = lambda c, p: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / (n * p))).otherwise(F.lit(0.0))
+    root = F.sqrt(F.greatest(F.lit(0.0), 2 * (part("bad", ratio) + part("good", 1 - ratio))))
+    return F.when(F.col("bad") >= ratio * n, root).otherwise(-root)
 
 
 def karlin_rate(scores: np.ndarray, weights: np.ndarray) -> float:
@@ -152,7 +158,7 @@ def karlin_rate(scores: np.ndarray, weights: np.ndarray) -> float:
     return (low + high) / 2
 
 
-def fit(docs: DataFrame, labels: DataFrame, folds: int, held_out: int, n_toxic: int = 6000, n_clean: int = 12000, max_tokens: int = 200_000, sure: float = 4.0, least_odds: float = 1.0, seed: int = 42) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, folds: int, held_out: int, n_toxic: int = 6000, n_clean: int = 12000, sure: float = 4.0, least_odds: float = 1.0, seed: int = 42) -> Model:
     """docs: doc_id, _t. Two thirds of the sampled rows give the log-odds, the rest the calibration."""
     known = learning_labels(labels, "toxic", folds, held_out)
     ids = None
@@ -160,20 +166,19 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int, held_out: int, n_toxic:
         part = sample_ids(known.filter(F.col("label") == label), n, seed).withColumn("label", F.lit(label))
         ids = part if ids is None else ids.unionByName(part)
     ids = ids.withColumn("third", F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.lit(3)))
-    rows = docs.join(F.broadcast(ids), "doc_id").select("_t", "label", "third")
+    rows = written(docs.join(F.broadcast(ids), "doc_id").select("_t", "label", "third"), "toxic-sample")
     counts = token_counts(rows.filter("third > 0")).groupBy("token").agg(
         F.sum(F.expr("if(label = 1, n, 0)")).alias("bad"), F.sum(F.expr("if(label = 0, n, 0)")).alias("good")
     )
+    counts = written(counts, "toxic-counts")
     totals = counts.agg(F.sum("bad"), F.sum("good")).first()
     if not totals[0] or not totals[1]:
         return Model(np.zeros(0, dtype=np.uint64), np.zeros(0), np.zeros(0), 0.1)
-    # the surest tokens: far from the common ratio for their count
     ratio = totals[0] / (totals[0] + totals[1])
-    far = F.abs(F.col("bad") - ratio * (F.col("bad") + F.col("good"))) / F.sqrt(ratio * (1 - ratio) * (F.col("bad") + F.col("good")))
-    top = counts.filter(F.col("bad") + F.col("good") >= 5).orderBy(far.desc(), "token").limit(max_tokens).toPandas()
+    top = counts.withColumn("z", sureness(ratio)).filter(F.abs("z") >= sure).orderBy("token").toPandas()
     rest = pd.DataFrame({"token": [0], "bad": [totals[0] - top["bad"].sum()], "good": [totals[1] - top["good"].sum()]})
     scored = log_odds(pd.concat([top, rest], ignore_index=True)).iloc[: len(top)]
-    scored = scored[(scored["z"].abs() >= sure) & (scored["odds"].abs() >= least_odds)]
+    scored = scored[scored["odds"].abs() >= least_odds]
     odds = scored["odds"].to_numpy()
     share = scored["good"].to_numpy(float) / max(1, totals[1])
     # drift: what makes the expected score of clean text clearly negative
@@ -209,6 +214,8 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int, held_out: int, n_toxic:
         model.weights = logistic(x, y)
         # sampled classes are not as frequent as in the labels: move the intercept to their frequency
         model.weights[0] += np.log(share_bad / (1 - share_bad)) - np.log(y.mean() / (1 - y.mean()))
+    removed(docs.sparkSession, rows)
+    removed(docs.sparkSession, counts)
     return model
 
 
@@ -241,7 +248,7 @@ def toxicity(
 ) -> DataFrame:
     """One row per row of docs: doc_id, the columns keep, held_out, score, predicted, and the significant segments
     (first and last token, score), the passages that make the text toxic."""
-    keep = tuple(c for c in keep if c not in ("doc_id", "held_out", "score", "predicted", "segments", "_t", id_col))
+    keep = tuple(c for c in keep if c.lower() not in ("doc_id", "held_out", "score", "predicted", "segments", "_t", id_col.lower()))
     whole = docs.select(F.col(id_col).alias("doc_id"), *[F.col(f"`{c}`") for c in keep], F.col(text_col).alias("_t"))
     model = fit(whole.select("doc_id", "_t"), labels, folds, held_out, **bounds)
     kept = docs.sparkSession.sparkContext.broadcast(model)
