@@ -130,18 +130,21 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _collected(docs: DataFrame, ids: DataFrame) -> np.ndarray:
+def _collected(docs: DataFrame, ids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(features, good) of the documents with ids (doc_id, good); one scan of docs."""
     of = lambda texts: (pd.DataFrame({"x": list(f)}) for f in features(texts))
-    found = scan_texts(docs.join(F.broadcast(ids), "doc_id", "left_semi").select("_t"), "x array<double>", of).toPandas()
-    return np.stack(found["x"].to_numpy()) if len(found) else np.zeros((0, WIDTH))
+    found = scan_texts(docs.join(F.broadcast(ids), "doc_id").select("good", "_t"), "x array<double>", of).toPandas()
+    x = np.stack(found["x"].to_numpy()) if len(found) else np.zeros((0, WIDTH))
+    return x, found["good"].to_numpy(bool)
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int, held_out: int, n_positive: int = 3000, n_unlabelled: int = 6000, seed: int = 42) -> Model:
     """docs: doc_id, _t. Learns from at most n_positive good rows and n_unlabelled rows of the folds that aren't held out."""
     good = learning_labels(labels, "quality", folds, held_out).filter("label = 1")
-    positive = _collected(docs, sample_ids(good, n_positive, seed))
     web = docs.filter(crc_mod(F.col("doc_id"), folds) != held_out)
-    unlabelled = _collected(docs, sample_ids(web, n_unlabelled, seed + 1))
+    ids = sample_ids(good, n_positive, seed).withColumn("good", F.lit(True)).unionByName(sample_ids(web, n_unlabelled, seed + 1).withColumn("good", F.lit(False)))
+    x, is_good = _collected(docs, ids)
+    positive, unlabelled = x[is_good], x[~is_good]
     if not len(positive) or not len(unlabelled):
         return Model(np.zeros(WIDTH), np.ones(WIDTH), np.zeros(WIDTH + 1), 0.5)
     mean, spread = unlabelled.mean(axis=0), unlabelled.std(axis=0) + 0.02
@@ -164,7 +167,7 @@ def quality_classifier(
     n_unlabelled: int = 6000,
 ) -> DataFrame:
     """One row per row of docs: doc_id, the columns keep, held_out, score, predicted."""
-    keep = tuple(c for c in keep if c not in ("doc_id", "held_out", "score", "predicted", "_t", id_col))
+    keep = tuple(c for c in keep if c.lower() not in ("doc_id", "held_out", "score", "predicted", "_t", id_col.lower()))
     whole = docs.select(F.col(id_col).alias("doc_id"), *[F.col(f"`{c}`") for c in keep], F.col(text_col).alias("_t"))
     model = fit(whole.select("doc_id", "_t"), labels, folds, held_out, n_positive, n_unlabelled)
     shared = docs.sparkSession.sparkContext.broadcast(model)
