@@ -1,6 +1,7 @@
 """Operators against brute force, oracle SQL, exact round trips and held-out labels."""
 
 import collections
+import functools
 import hashlib
 import math
 import random
@@ -58,6 +59,7 @@ def test_ppm_against_a_trie(spark):
             for k in range(order + 1):
                 trie[s[i - k : i]][s[i]] += 1
 
+    @functools.cache
     def cost(context, symbol):
         total, gone = 0.0, set()
         for k in range(order, -1, -1):
@@ -77,7 +79,7 @@ def test_ppm_against_a_trie(spark):
         assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(ws), sum(w in words for w in ws), n)
         assert r["base_score"] == pytest.approx(sum(math.log10((words[w] + 1) / (n + v + 1)) for w in ws), rel=1e-9)
         assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 7 == 2)
-    for r in sorted(rows, key=lambda r: len(texts[r["doc_id"]]))[:60:3]:
+    for r in rows:
         s = bytes([ppm.START]) * order + texts[r["doc_id"]] + bytes([ppm.END])
         assert r["score"] == pytest.approx(sum(cost(s[i - order : i], s[i]) for i in range(order, len(s))), rel=1e-6)
 
