@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowkin.llm import jaccard_tiles, poisson_mix, pu_quality, quality_mcd, winnow
-from rowkin.llm.common import written
+from rowkin.llm.common import begun, removed_since, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -62,12 +62,13 @@ STAGES = [
     ("mixing sources to target weights", mixing),
 ]
 
-#: The classifier's fit and the groups of similar texts have no SQL form; tests hold each stage against brute force.
+#: The classifier's fit and the groups of similar texts have no SQL form; tests hold the stages' decisions against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, first = spark.read.parquet(f"{sf_dir}/documents.parquet"), begun()
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        removed_since(spark, first, docs)  # the stage's scratch tables and its input, which nothing reads any more
     return docs
