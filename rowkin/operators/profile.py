@@ -32,12 +32,15 @@ def _word_count(c: Column) -> Column:
     return F.size(F.filter(F.split(c, r"\s+"), lambda w: w != ""))
 
 
-def length_stats(df: DataFrame, columns: list[str], first_rows: int | None = None, ordinal: str = "ord") -> DataFrame:
+def length_stats(df: DataFrame, columns: list[str], chunk_rows: int | None = None, first_rows: int = 50_000, most_rows: int = 300_000, ordinal: str = "ord") -> DataFrame:
     """P5: exact statistics of lengths in characters and words: (column, measure, n, min, max, mean, p25, median, p75, p95, p99).
 
-    first_rows (P6): only the head of the table, which is what a sampling profiler would see.
+    chunk_rows (P6): only the first first_rows of each chunk of so many rows, until most_rows are reached, which is
+    what a sampling profiler sees.
     """
-    df = df.filter(F.col(ordinal) < first_rows) if first_rows is not None else df
+    if chunk_rows is not None:
+        chunk = F.floor(F.col(ordinal) / chunk_rows)
+        df = df.filter((F.pmod(F.col(ordinal), F.lit(chunk_rows)) < first_rows) & (chunk * first_rows < most_rows))
     measures = []
     for c in columns:
         text = F.coalesce(F.col(c).cast("string"), F.lit(""))

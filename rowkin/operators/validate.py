@@ -112,7 +112,7 @@ def _body(spark: SparkSession, path: str) -> DataFrame:
     """Lines without the header: the first line of each file."""
     lines = _lines(spark, path)
     heads = lines.groupBy("_at.f").agg(F.min("_at").alias("_at"))
-    return lines.join(F.broadcast(heads.select("_at")), "_at", "left_anti").drop("_at")
+    return lines.join(heads.select("_at"), "_at", "left_anti").drop("_at")
 
 
 def _header(spark: SparkSession, path: str) -> str | None:
@@ -121,12 +121,16 @@ def _header(spark: SparkSession, path: str) -> str | None:
 
 
 def _check_header(spark: SparkSession, path: str, expected: list[str], report: Report) -> bool:
-    """V1-V3."""
+    """V1-V3, and V16 for the encoding."""
     try:
         head = _header(spark, path)
     except PySparkException as e:
         report.errors.append(f"V1 {path}: can't be read ({type(e).__name__})")
         return False
+    broken = _lines(spark, path).filter(~F.is_valid_utf8("value")).count()
+    if broken:
+        report.errors.append(f"V16 {path}: {broken} lines aren't UTF-8")
+        return False
     if head is None:
         report.errors.append(f"V1 {path}: empty")
     elif "\t" not in head and "," in head:

@@ -1,7 +1,7 @@
 """Registered queries of the linkage operators and, where SQL can say the same, their oracle SQL.
 
-All run on the entity fixture made from `documents` (whole tables), whose bucket sizes suit the smaller caps and the
-smaller number of candidates used here: with them, caps and cuts take effect.
+All run on the entity fixture made from `documents` (whole tables and texts), with BlockingConfig's caps and number of
+candidates.
 """
 
 from __future__ import annotations
@@ -16,8 +16,9 @@ from rowkin.config import BlockingConfig
 from rowkin.functions import normalize, tokens
 from rowkin.operators import blocking, evaluate, features, models, profile, splits, validate
 from rowkin.sources import fixtures, sinks, tables
+from rowkin.sources.scratch import scratch_path
 
-CONFIG = BlockingConfig(caps={"B1": None, "B2": 20, "B3": 20, "B4": 15, "B5": 15, "B6": 10, "B7": 10}, top_k=5)
+CONFIG = BlockingConfig()
 THRESHOLDS = (0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
 THRESHOLD = 0.6
 
@@ -30,7 +31,8 @@ class _Fixture:
     """The fixture's tables, normalized, for one query. Persisted, because anchors, targets and features all read them."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.all = normalize.normalize_table(fixtures.entities(spark, sf_dir), ascii_only=True).persist(StorageLevel.MEMORY_AND_DISK)
+        self.spark, self._scored = spark, None
+        self.all = normalize.normalize_table(fixtures.entities(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
         self.raw = self.all.drop("name_n", "addr_n", "country_n")
         self.s1_ids, self.truth = fixtures.truth(self.raw)
         self.s1 = self.all.filter("source = 'S1'")
@@ -47,8 +49,15 @@ class _Fixture:
         return features.labelled(self.features(), self.truth)
 
     def scored(self) -> DataFrame:
-        """Pairs with the composite score, rounded so that both engines compare the same number with a threshold."""
-        return self.labelled().select("s1_id", "cand_id", "label", F.round("name_addr_combined_score", 6).alias("p"))
+        """Pairs with the composite score, rounded so that both engines compare the same number with a threshold.
+
+        Written once: a sweep reads them for each of its parts.
+        """
+        if self._scored is None:
+            path = scratch_path(self.spark, "scored")
+            self.labelled().select("s1_id", "cand_id", "label", F.round("name_addr_combined_score", 6).alias("p")).write.parquet(path)
+            self._scored = self.spark.read.parquet(path)
+        return self._scored
 
     def matched(self) -> DataFrame:
         return evaluate.matched(self.scored(), THRESHOLD)
@@ -178,7 +187,7 @@ def profile_lengths(spark, sf_dir):
 
 
 def profile_head_lengths(spark, sf_dir):
-    return _rounded(profile.length_stats(_Fixture(spark, sf_dir).raw, ["business_name"], first_rows=200))
+    return _rounded(profile.length_stats(_Fixture(spark, sf_dir).raw, ["business_name"], chunk_rows=500_000))
 
 
 def value_frequency(spark, sf_dir):
@@ -237,6 +246,74 @@ def validator_findings(spark, sf_dir):
     return found.select("rule", "severity", "offenders")
 
 
+def duplicate_rows(spark, sf_dir):
+    """Match lists of which some rows stand twice and some are missing, with examples of offenders."""
+    f = _Fixture(spark, sf_dir)
+    lists = _truth_lists(f).withColumn("n", F.substring("s1_id", 4, 20).cast("bigint"))
+    twice = F.explode(F.when(F.col("n") % 7 == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    lines = lists.filter("n % 11 <> 5").select(F.concat_ws("\t", "s1_id", F.array_join("ids", ",")).alias("value"), twice.alias("k"))
+    found = validate.findings(validate.parsed_lines(lines), f.s1_ids, f.raw.select("entity_id"))
+    return found.select("rule", "severity", "offenders", F.array_join("examples", "|").alias("examples"))
+
+
+def file_checks(spark, sf_dir):
+    """Match files with faults of the file itself: (case, severity, rule)."""
+    f = _Fixture(spark, sf_dir)
+    head = "\t".join(validate.MATCH_HEADER)
+    lines = sinks.joined_lists(f.truth, f.s1_ids, "ids").select(F.concat_ws("\t", "source1_entity_id", "ids").alias("value"))
+    cases = {
+        "good": (head, lines),
+        "empty": (None, lines.limit(0)),
+        "commas": (head.replace("\t", ","), lines.select(F.translate("value", "\t", ","))),
+        "header": ("id\tids", lines),
+        "encoding": (head, lines.select(F.concat(F.col("value").cast("binary"), F.unhex(F.lit("FF"))).cast("string").alias("value"))),
+    }
+    rows = []
+    for name, (first, body) in cases.items():
+        path = scratch_path(spark, f"file-{name}")
+        one = body.coalesce(1)
+        one = spark.createDataFrame([(first,)], "value string").coalesce(1).union(one).coalesce(1) if first else one
+        one.write.text(path)
+        report = validate.validate_files(spark, path, f.s1_ids, targets=f.raw.select("entity_id"))
+        rows += [(name, severity, m.split()[0]) for severity, found in (("error", report.errors), ("warning", report.warnings)) for m in found]
+    return spark.createDataFrame(rows, "case string, severity string, rule string")
+
+
+def source_round_trip(spark, sf_dir):
+    """The three sources written as TSV and read again."""
+    f = _Fixture(spark, sf_dir)
+    out = None
+    for source in ("S1", "S2", "S3"):
+        path = scratch_path(spark, f"source-{source}")
+        sinks.write_tsv(f.raw.filter(F.col("source") == source).select("entity_id", "business_name", "business_address", "country"), path)
+        part = tables.read_source(spark, path)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def truth_round_trip(spark, sf_dir):
+    """The truth written as lists and read again as pairs."""
+    f, path = _Fixture(spark, sf_dir), scratch_path(spark, "truth")
+    sinks.write_matches(f.truth, f.s1_ids, path)
+    return tables.truth_pairs(tables.read_truth(spark, path))
+
+
+def match_file(spark, sf_dir):
+    """Match lists written as one file and read again."""
+    f, path = _Fixture(spark, sf_dir), scratch_path(spark, "matches")
+    sinks.write_matches(f.matched(), f.s1_ids, path, single_file=True, order_by="source1_entity_id")
+    return tables.read_tsv(spark, path, "source1_entity_id string, matched_entity_ids string")
+
+
+def features_file(spark, sf_dir):
+    """Pair features of single precision, written as Parquet and read again."""
+    f, path = _Fixture(spark, sf_dir), scratch_path(spark, "features")
+    pairs = features.paired(f.candidates().select("s1_id", "cand_id"), tokens.with_tokens(f.s1), tokens.with_tokens(f.targets))
+    sinks.write_features(features.pair_features(pairs), path)
+    found = tables.read_features(spark, path)
+    return found.select("s1_id", "cand_id", *[F.round(F.col(c).cast("double"), 4).alias(c) for c in features.FEATURES])
+
+
 def grouped_split(spark, sf_dir):
     f = _Fixture(spark, sf_dir)
     return f.s1_ids.withColumns({"held_out": splits.is_held_out(), "part": splits.three_way()})
@@ -275,7 +352,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         candidates_by_source, blocking_recall, pair_features, class_balance, match_lists, entity_scores, macro_scores, pair_scores,
         threshold_sweep, best_threshold, cardinality_breakdown, match_summary, best_anchor, profile_ids, profile_missing, profile_lengths,
         profile_head_lengths, value_frequency, first_rows, countries, profile_truth, normalization_quality, address_quality, semi_join_ids,
-        targets_or_head, validator_findings, grouped_split, sampled_entities, lr_scores, gbt_scores, feature_importance,
+        targets_or_head, validator_findings, duplicate_rows, file_checks, source_round_trip, truth_round_trip, match_file, features_file, grouped_split, sampled_entities, lr_scores, gbt_scores, feature_importance,
     )
 }
 
@@ -283,10 +360,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # Oracle SQL. Each query is a chain of common tables on the fixture's own.
 
 def _text(c: str) -> str:
-    x = f"regexp_replace(lower({c}), '[&+]', ' and ', 'g')"
+    x = f"regexp_replace(lower(strip_accents({c})), '[&+]', ' and ', 'g')"
     x = f"regexp_replace({x}, '[/,_;:|-]', ' ', 'g')"
     x = f"regexp_replace({x}, '\\s+', ' ', 'g')"
-    x = f"regexp_replace({x}, '[^a-z0-9 ]', '', 'g')"
+    x = f"regexp_replace({x}, '[^\\p{{L}}\\p{{N}} ]', '', 'g')"
     return f"trim(regexp_replace({x}, ' +', ' ', 'g'))"
 
 
@@ -358,7 +435,9 @@ def _jac(x: str, y: str) -> str:
 
 
 def _lev(x: str, y: str) -> str:
-    return f"CASE WHEN {x} = {y} THEN 1.0 WHEN {x} = '' OR {y} = '' THEN 0.0 ELSE 1.0 - levenshtein({x}, {y})::DOUBLE / greatest(len({x}), len({y})) END"
+    """The other engine counts bytes: letters that N1 leaves beyond ASCII become signs that it never leaves."""
+    one = lambda c: f"translate({c}, 'ßœæøđłþð', '~!@#$%^*')"
+    return f"CASE WHEN {x} = {y} THEN 1.0 WHEN {x} = '' OR {y} = '' THEN 0.0 ELSE 1.0 - levenshtein({one(x)}, {one(y)})::DOUBLE / greatest(len({x}), len({y})) END"
 
 
 def _eq(x: str, y: str) -> str:
@@ -516,7 +595,7 @@ SELECT tp, fp, fn, tn, pairs, round(a, 6) AS precision, round(b, 6) AS recall, r
     "profile_ids": f"{fixtures.ORACLE_WITH} SELECT count(*) AS n_rows, count(DISTINCT business_name) AS unique_ids, count(*) - count(DISTINCT business_name) AS duplicate_ids FROM entities",
     "profile_missing": fixtures.ORACLE_WITH + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) FILTER (coalesce({c}, '') IN ('', 'nan', 'None', 'NULL')) AS missing, round(100.0::DOUBLE * count(*) FILTER (coalesce({c}, '') IN ('', 'nan', 'None', 'NULL')) / greatest(count(*), 1), 6) AS pct FROM entities" for c in ("entity_id", "business_name", "business_address", "country")),
     "profile_lengths": _lengths(["business_name", "business_address"]),
-    "profile_head_lengths": _lengths(["business_name"], " WHERE ord < 200"),
+    "profile_head_lengths": _lengths(["business_name"], " WHERE ord % 500000 < 50000 AND (ord // 500000) * 50000 < 300000"),
     "value_frequency": f"{fixtures.ORACLE_WITH} SELECT country AS value, count(*) AS n FROM entities GROUP BY 1",
     "first_rows": f"{fixtures.ORACLE_WITH} SELECT entity_id, business_name, business_address, country FROM entities WHERE source = 'S1' ORDER BY ord LIMIT 5",
     "countries": f"{fixtures.ORACLE_WITH} SELECT DISTINCT CASE WHEN country = '' THEN 'unknown' ELSE upper(trim(country)) END AS country FROM entities",
@@ -530,4 +609,16 @@ SELECT count(*) AS n_rows, count(DISTINCT s1_id) AS unique_s1, count(*) FILTER (
     "semi_join_ids": f"{_CANDS} SELECT entity_id, country FROM entities WHERE entity_id IN (SELECT cand_id FROM truth)",
     "targets_or_head": f"{_CANDS} SELECT entity_id, ord FROM entities WHERE ord < 100 OR entity_id IN (SELECT cand_id FROM truth)",
     "validator_findings": _SPOILT,
+    "duplicate_rows": f"""{_CANDS}, present AS (SELECT s1_id FROM s1_ids WHERE substr(s1_id, 4)::BIGINT % 11 <> 5),
+v AS (SELECT 'V5' AS rule, s1_id FROM present WHERE substr(s1_id, 4)::BIGINT % 7 = 3 UNION ALL SELECT 'V10', s1_id FROM s1_ids WHERE substr(s1_id, 4)::BIGINT % 11 = 5)
+SELECT rule, 'error' AS severity, count(*) AS offenders, array_to_string(list_sort(list(s1_id))[1:5], '|') AS examples FROM v GROUP BY rule""",
+    "file_checks": """SELECT * FROM (VALUES ('good', 'warning', 'V13'), ('empty', 'warning', 'V13'), ('empty', 'error', 'V1'), ('commas', 'warning', 'V13'), ('commas', 'error', 'V2'),
+  ('header', 'warning', 'V13'), ('header', 'error', 'V3'), ('encoding', 'warning', 'V13'), ('encoding', 'error', 'V16')) AS t("case", severity, rule)""",
+    "source_round_trip": f"{fixtures.ORACLE_WITH} SELECT entity_id, business_name, business_address, country FROM entities",
+    "truth_round_trip": f"{_CANDS} SELECT s1_id, cand_id FROM truth",
+    "match_file": f"{_FEAT} {_lists('matched', 'matched_entity_ids')}",
+    "features_file": f"{_FEAT} SELECT s1_id, cand_id, {', '.join(f'round({c}::FLOAT::DOUBLE, 4) AS {c}' for c in features.FEATURES)} FROM feats",
+    "grouped_split": f"""{_CANDS}, h AS (SELECT s1_id, ('0x' || substr(md5('42:' || s1_id), 1, 13))::BIGINT % 100 AS k FROM s1_ids)
+SELECT s1_id, k < 20 AS held_out, CASE WHEN k < 15 THEN 'test' WHEN k < 30 THEN 'tune' ELSE 'train' END AS part FROM h""",
+    "sampled_entities": f"{_CANDS} SELECT s1_id FROM s1_ids ORDER BY ('0x' || substr(md5('42:' || s1_id), 1, 13))::BIGINT, s1_id LIMIT 100",
 }

@@ -19,16 +19,16 @@ def test_train_infer_validate(spark, tmp_path):
     raw = fixtures.entities(spark, SF).cache()
     ids, truth = fixtures.truth(raw)
     s1, s2, s3 = (raw.filter(F.col("source") == s).drop("truth_doc") for s in ("S1", "S2", "S3"))
-    out = linkage.train(s1, s2, s3, truth, trees=False, ascii_only=True)
+    out = linkage.train(s1, s2, s3, truth, trees=False)
     report = out["reports"]["logistic"]
     assert report["macro"]["macro_f"] > 0.7 and len(report["importances"]) == 31
-    result = linkage.infer(out["models"]["logistic"], s1, s2, s3, threshold=report["threshold"], ascii_only=True)
+    result = linkage.infer(out["models"]["logistic"], s1, s2, s3, threshold=report["threshold"])
     linkage.write_results(result, str(tmp_path / "c"), str(tmp_path / "m"))
     found = validate.validate_files(spark, str(tmp_path / "m"), ids, str(tmp_path / "c"), raw.select("entity_id"))
     assert found.ok and not found.warnings, found
     checked = linkage.verify_threshold(out["models"]["logistic"], out["features"], ids, truth)
     assert checked["sweep"].count() == 10 and checked["breakdown"].count() >= 2
-    recall = linkage.evaluate_blocking(s1, s2, s3, truth, ascii_only=True)["recall"].first()
+    recall = linkage.evaluate_blocking(s1, s2, s3, truth)["recall"].first()
     assert recall["recall_pct"] > 90 and recall["reduction_pct"] > 50
     s2.drop("source").limit(40).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(s2.drop("source").schema).parquet(str(tmp_path / "in"))
