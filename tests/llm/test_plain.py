@@ -348,3 +348,38 @@ def test_hashes_of_items(spark):
     bench = spark.createDataFrame([(10, "one two"), (9, "two three"), (100, "x")], "item_id long, text string")
     row = winnow.decontaminate(spark.createDataFrame([(1, "One, two three")], "doc_id long, text string"), bench).first()
     assert (row["n_hit"], row["items_sha256"]) == (3, hashlib.sha256(b"10,9").hexdigest()) and lowered("É") == "É"
+
+
+# names in other cases, and the pipeline's stages
+
+
+def test_columns_that_clash_in_another_case(spark):
+    docs = spark.createDataFrame([(1, "some words here", "x", "y", "z")], "doc_id long, text string, Score string, N_Words string, Labels string")
+    known = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    more = ("Score", "N_Words")
+    assert toxicity.toxicity(docs, known, keep=more).columns.count("N_Words") == 1
+    assert "Score" not in pu_quality.quality_classifier(docs, known, keep=more).columns
+    assert "N_Words" not in winnow.decontaminate(docs, docs, item_col="doc_id").columns
+    assert [c for c in license_scan.license_scan(docs).columns if c.lower() == "labels"] == ["labels"]
+    assert "N_Words" not in quality_mcd.quality_rules(docs.withColumns({"lang": F.lit("en"), "source": F.lit("a")}), keep=more).columns
+
+
+def test_stages_on_planted_rows(spark):
+    """What each filtering stage does with nulls, empty texts, repeated rows, copies and benchmark passages."""
+    import corpus_pipeline
+
+    rng = random.Random(21)
+    prose = lambda n: [rng.choice(["the", "river", "town", "under", "old", "bridge", "quietly", "ran", "people", "said", "a", "of"]) + rng.choice(["", "", "s", "ly"]) for _ in range(n)]
+    a, b = prose(200), prose(300)
+    near = [*a[:100], "changed", *a[101:]]
+    item = next(t for t in texts_of(SMALL, "benchmark", "item_id").values() if len(alnum(t)) >= 12)
+    rows = [(1, " ".join(a)), (2, " ".join(near)), (2, " ".join(near)), (3, " ".join(b)), (None, " ".join(a)), (5, None), (6, ""), (7, f"{' '.join(b[::-1])} {item}"), (8, "too short")]
+    df = spark.createDataFrame([(i, t, "en", "src", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    stages = dict(corpus_pipeline.STAGES)
+    kept = lambda name: sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"]) for r in stages[name](spark, df, SMALL).select("doc_id", "text").collect())
+    of = lambda *ids: sorted([(i is None, i or 0, t) for k, (i, t) in enumerate(rows) if k in ids], key=lambda x: (x[0], x[1]))
+    assert kept("quality rules") == of(0, 1, 2, 3, 4, 7)
+    assert {x[1] for x in kept("n-gram Jaccard join")} == {0, 3, 5, 6, 7, 8}  # the null id is the least of the copies
+    assert kept("benchmark decontamination") == of(0, 1, 2, 3, 4, 5, 6, 8)
+    labelled = [x[1] for x in kept("quality classifier")]
+    assert set(labelled) <= {0, 1, 2, 3, 5, 6, 7, 8} and labelled.count(2) in (0, 2)
