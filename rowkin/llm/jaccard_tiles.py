@@ -28,7 +28,7 @@ Scale and skew. A tile or family with many nodes is split into blocks (BLOCK, EX
 of bounded size; nodes of its largest label aren't paired with each other. What is quadratic is bit comparisons between
 nodes that share a key and don't link. Keys that very many nodes share are found on a sample of nodes, and their sizes
 by a partial aggregate, so they don't meet in one task; all other keys meet in one shuffle of (key, node). Texts are
-never shuffled: sets leave the scan only for nodes that are candidates, which a bitmap of fixed size marks.
+never shuffled: sets leave the scan only for nodes that are candidates, which a bitmap marks; its size follows their count up to a bound.
 
 Nulls and odd rows: a null text is empty; a null id has no say in component ids and gets its group's smallest, or
 null; rows that repeat are equal nodes. An empty table gives an empty result. Other columns are ignored.
@@ -53,8 +53,8 @@ BLOCK = 2048
 EXACT_BLOCK = 2048
 TILE = ["tile", "b1", "b2", "side", "n", "node", "label"]
 EXACT_ELEMENTS = 2_000_000
-#: Bits of the fixed bitmap that marks the documents whose sets are needed.
-MARKS = 1 << 23
+#: Bits of the bitmap that marks the documents whose sets are needed: so many for each, and at most.
+MARKS_EACH, MOST_MARKS = 128, 1 << 28
 #: Rows of a table of hot keys or tiles that is broadcast (16 bytes each); beyond it the join is by shuffle.
 MOST_BROADCAST = 1_000_000
 
@@ -401,13 +401,14 @@ def _near_pivot(members: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _sets_of(source: DataFrame, wanted: DataFrame, ngram: int) -> DataFrame:
     """(node, elements) of the nodes whose representative ids are in wanted (rep), and of a few others."""
-    place = F.pmod(F.xxhash64("rep"), F.lit(MARKS))
+    size = min(MOST_MARKS, max(1 << 16, 1 << (MARKS_EACH * wanted.count()).bit_length()))
+    place = F.pmod(F.xxhash64("rep"), F.lit(size))
     words = wanted.select(place.alias("p")).groupBy(F.shiftright("p", 5).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 32 as int))")).alias("b"))
-    marks = np.zeros(MARKS // 32, dtype=np.uint32)
-    for r in words.toLocalIterator():  # at most MARKS / 32 rows, whatever the input
+    marks = np.zeros(size // 32, dtype=np.uint32)
+    for r in words.toLocalIterator():  # at most MOST_MARKS / 32 rows, whatever the input
         marks[r["w"]] = r["b"]
     marked = source.sparkSession.sparkContext.broadcast(marks.astype("<u4").tobytes())
-    placed = source.select("_t", F.pmod(F.xxhash64("doc_id"), F.lit(MARKS)).cast("int").alias("_place"))
+    placed = source.select("_t", F.pmod(F.xxhash64("doc_id"), F.lit(size)).cast("int").alias("_place"))
     return placed.mapInArrow(_scan_sets(ngram, marked), "node bigint, elements array<bigint>")
 
 
