@@ -49,6 +49,6 @@ def test_words_end_at_ascii_letters(spark):
         assert (r["n"], r["a"]) == (name, addr)
 
 
-@pytest.mark.parametrize("name", ["normalized_tables", "token_arrays", "blocking_key_table"])
+@pytest.mark.parametrize("name", ["normalized_tables", "token_arrays", "blocking_key_table", "bucket_caps"])
 def test_like_its_sql(spark, planted, name):
     assert differences(spark, name, planted) == ([], [])
