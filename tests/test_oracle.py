@@ -49,6 +49,14 @@ def test_words_end_at_ascii_letters(spark):
         assert (r["n"], r["a"]) == (name, addr)
 
 
-@pytest.mark.parametrize("name", ["normalized_tables", "token_arrays", "blocking_key_table", "bucket_caps"])
+def test_rounding_is_the_engines(spark):
+    numbers = [n / 6400 * f for n in range(0, 6400, 7) for f in (0.85, 1.0, -0.45)] + [0.0640625, 2.5e-6, 1e9 + 0.0000005]
+    df = spark.createDataFrame([(x,) for x in numbers], "x double")
+    for places in (4, 6):
+        expected = [r[0] for r in duckdb.execute(f"SELECT round(x, {places}) FROM (SELECT unnest(?::DOUBLE[]) AS x)", [numbers]).fetchall()]
+        assert [r[0] for r in df.select(catalog._round(F.col("x"), places)).collect()] == expected
+
+
+@pytest.mark.parametrize("name", ["normalized_tables", "token_arrays", "blocking_key_table", "bucket_caps", "pair_features"])
 def test_like_its_sql(spark, planted, name):
     assert differences(spark, name, planted) == ([], [])
