@@ -57,6 +57,6 @@ def test_rounding_is_the_engines(spark):
         assert [r[0] for r in df.select(catalog._round(F.col("x"), places)).collect()] == expected
 
 
-@pytest.mark.parametrize("name", ["normalized_tables", "token_arrays", "blocking_key_table", "bucket_caps", "pair_features", "features_file", "best_anchor", "match_file", "match_lists", "match_summary"])
+@pytest.mark.parametrize("name", ["normalized_tables", "token_arrays", "blocking_key_table", "bucket_caps", "pair_features", "features_file", "best_anchor", "match_file", "match_lists", "match_summary", "pair_scores"])
 def test_like_its_sql(spark, planted, name):
     assert differences(spark, name, planted) == ([], [])
