@@ -335,6 +335,32 @@ def _valued(low, order: int):
 OUT = "n_tokens bigint, n_known bigint, base_log double, score double"
 
 
+class Table:
+    """Distinct keys with a value each, ordered by a hash whose first bits point at their place: some two steps a key looked up."""
+
+    def __init__(self, keys: np.ndarray, value: np.ndarray):
+        hashed = mix(keys.astype(np.uint64))
+        by = np.argsort(hashed)
+        self.keys, self.value = keys[by], value[by]
+        bits = max(1, len(keys).bit_length())
+        self.shift = np.uint64(64 - bits)
+        size = np.bincount((hashed >> self.shift).astype(np.int64), minlength=1 << bits)
+        self.most, self.start = int(size.max()), (np.cumsum(size) - size).astype(np.int32)
+
+    def at(self, k: np.ndarray) -> np.ndarray | None:
+        """The places of k; None if some aren't there."""
+        if not len(k):
+            return np.zeros(0, dtype=np.int64)
+        at = self.start[mix(k.astype(np.uint64)) >> self.shift].astype(np.int64)
+        left = np.arange(len(k))
+        for _ in range(self.most):  # keys of the same first bits stand together
+            left = left[self.keys.take(at[left], mode="clip") != k[left]]
+            if not len(left):
+                return at
+            at[left] += 1
+        return None
+
+
 class Values:
     """A piece's strings with their code lengths and words with their counts."""
 
@@ -344,16 +370,14 @@ class Values:
             mine = [r for r in rows if (r[0] >= 1 << FAMILY_BITS) == words]
             keys = np.concatenate([np.zeros(0, dtype=np.int64), *(unpacked_keys(r[1]) for r in mine)])
             value = np.concatenate([np.zeros(0, dtype="<f4"), *(unpacked(r[2], "<i8" if words else "<f4") for r in mine)])
-            by = np.argsort(keys)
-            self.tables[words] = keys[by], value[by]
+            self.tables[words] = Table(keys, value)
 
     def of(self, k: np.ndarray, words: bool) -> np.ndarray:
-        keys, value = self.tables[words]
-        at = np.searchsorted(keys, k)
-        at[at == len(keys)] = 0
-        if len(k) and (not len(keys) or (keys[at] != k).any()):
+        table = self.tables[words]
+        at = table.at(k)
+        if at is None:
             raise RuntimeError("a text changed its piece between two reads; its input isn't deterministic")
-        return value[at].astype(np.float64)
+        return table.value[at].astype(np.float64)
 
 
 def _scored(order: int):
