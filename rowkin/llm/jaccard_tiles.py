@@ -402,12 +402,12 @@ def _near_pivot(members: DataFrame, nodes: DataFrame) -> DataFrame:
 def _sets_of(source: DataFrame, wanted: DataFrame, ngram: int) -> DataFrame:
     """(node, elements) of the nodes whose representative ids are in wanted (rep), and of a few others."""
     size = min(MOST_MARKS, max(1 << 16, 1 << (MARKS_EACH * wanted.count()).bit_length()))
-    place = F.pmod(F.xxhash64("rep"), F.lit(size))
-    words = wanted.select(place.alias("p")).groupBy(F.shiftright("p", 5).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 32 as int))")).alias("b"))
-    marks = np.zeros(size // 32, dtype=np.uint32)
-    for r in words.toLocalIterator():  # at most MOST_MARKS / 32 rows, whatever the input
-        marks[r["w"]] = r["b"]
-    marked = source.sparkSession.sparkContext.broadcast(marks.astype("<u4").tobytes())
+    place = F.pmod(F.xxhash64("rep"), F.lit(size)).cast("int")
+    words = wanted.select(place.alias("p")).groupBy(F.shiftright("p", 5).alias("w")).agg(F.bit_or(F.expr("shiftleft(1, p % 32)")).alias("b"))
+    words = words.toArrow()  # one job; at most MOST_MARKS / 32 rows of 8 bytes, whatever the input
+    marks = np.zeros(size // 32, dtype="<i4")
+    marks[words["w"].to_numpy()] = words["b"].to_numpy()
+    marked = source.sparkSession.sparkContext.broadcast(marks.tobytes())
     placed = source.select("_t", F.pmod(F.xxhash64("doc_id"), F.lit(size)).cast("int").alias("_place"))
     return placed.mapInArrow(_scan_sets(ngram, marked), "node bigint, elements array<bigint>")
 

@@ -131,11 +131,11 @@ class Model:
 
 
 def _collected(docs: DataFrame, ids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(features, good) of the documents with ids (doc_id, good); one scan of docs."""
+    """(features, good) of the documents with ids (doc_id, good); one scan of docs. They come as Arrow: as rows, each number is an object."""
     of = lambda texts: (pd.DataFrame({"x": list(f)}) for f in features(texts))
-    found = scan_texts(docs.join(F.broadcast(ids), "doc_id").select("good", "_t"), "x array<double>", of).toPandas()
-    x = np.stack(found["x"].to_numpy()) if len(found) else np.zeros((0, WIDTH))
-    return x, found["good"].to_numpy(bool)
+    found = scan_texts(docs.join(F.broadcast(ids), "doc_id").select("good", "_t"), "x array<double>", of).toArrow().combine_chunks()
+    x = [c.flatten().to_numpy() for c in found["x"].chunks]
+    return np.concatenate([np.zeros(0), *x]).reshape(-1, WIDTH), found["good"].to_numpy().astype(bool)
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int, held_out: int, n_positive: int = 3000, n_unlabelled: int = 6000, seed: int = 42) -> Model:
