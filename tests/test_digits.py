@@ -14,6 +14,6 @@ def digits(spark, tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["blocking_key_table", "bucket_caps", "candidate_scores", "candidates_topk"])
+@pytest.mark.parametrize("name", ["token_arrays", "blocking_key_table", "bucket_caps", "candidate_scores", "candidates_topk"])
 def test_like_its_sql(spark, digits, name):
     assert differences(spark, name, digits) == ([], [])
